@@ -171,10 +171,14 @@ def match_structured(facts: DataFrame, rows: DataFrame, queries: DataFrame,
     prefixes = terms.filter(F.col("kind") == "prefix")
     lengths = prefixes.agg(F.collect_set(F.length("term"))).scalar()
     beginnings = F.transform(
-        F.filter(lengths, lambda n: n <= F.length("lexeme")),
+        F.filter("_lengths", lambda n: n <= F.length("lexeme")),
         lambda n: F.substr(F.col("lexeme"), F.lit(1), n),
     )
-    by_prefix = words.select(*key, F.explode(beginnings).alias("term")).distinct()
+    by_prefix = (
+        words.withColumn("_lengths", lengths)
+        .select(*key, F.explode(beginnings).alias("term"))
+        .distinct()
+    )
 
     hits = lookup_join(words, exact, ["lexeme"], spread_by=[*key, "lexeme"], small=small).select(
         "query_id", *key, "kind", F.col("lexeme").alias("term")

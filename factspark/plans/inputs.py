@@ -325,7 +325,7 @@ SQL: dict[str, tuple[list[str], str]] = {
         FROM by_source GROUP BY breed, fact_type, fact_value"""),
     "ranked": (["scored"], """
         SELECT *, row_number() OVER (PARTITION BY breed, fact_type
-                                     ORDER BY round(final_score, 12) DESC, fact_value) AS rn
+                                     ORDER BY final_score DESC, fact_value) AS rn
         FROM scored"""),
     "fused": (["ranked"], "SELECT * FROM ranked WHERE rn <= 10"),
     "raw_facts": ([], """
@@ -399,13 +399,14 @@ SQL: dict[str, tuple[list[str], str]] = {
     "doc_facts": (["match_facts", "features", "characters", "breed_characters"], """
         SELECT doc_id, fact FROM match_facts UNION SELECT doc_id, fact FROM features
         UNION SELECT doc_id, fact FROM characters UNION SELECT doc_id, fact FROM breed_characters"""),
-    "structured": (["breeds"], """
-        SELECT part_no, name, unnest(
+    "fact_lists": (["breeds"], f"""
+        SELECT part_no, name,
             CASE WHEN name <> '' THEN ['BREED:' || name] ELSE [] END
             || CASE WHEN origin <> '' THEN ['ORIGIN:' || origin] ELSE [] END
             || CASE WHEN temperament <> '' THEN list_transform(string_split(temperament, ', '),
-                    lambda x: 'CHARACTER:' || trim(x)) ELSE [] END) AS fact
+                    lambda x: 'CHARACTER:' || {STRIP("x")}) ELSE [] END AS facts
         FROM breeds"""),
+    "structured": (["fact_lists"], "SELECT part_no, name, unnest(facts) AS fact FROM fact_lists"),
     "tokens_of_facts": (["fused"], f"""
         SELECT breed, fact_type, fact_value, lower(unnest(l)) AS lexeme,
                unnest(range(1, len(l) + 1)) AS pos
