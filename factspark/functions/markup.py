@@ -81,15 +81,19 @@ def html_to_text(c: Column) -> Column:
 _CLOSED_ROOT = r"(?s)^\s*(?:<[?!][^>]*>\s*)*<([A-Za-z]\w*)[^>]*>.*</\1\s*>\s*\z"
 
 
-def xml_ids(c: Column) -> Column:
-    """The ids of the first id list in a search response; NULL where there is none.
+def xml_id_texts(c: Column) -> Column:
+    """The ids of the first id list in a search response as written; NULL where there is none.
 
     Built-in XPath stops the job on one malformed record, a pattern does not. A
     response whose root element is not closed at the end is taken as malformed.
     """
     block = F.regexp_extract(c, r"(?s)<IdList(?:\s*/>|>(.*?)</IdList>)", 1)
     ids = F.regexp_extract_all(block, F.lit(r"<Id>([^<]+)</Id>"), F.lit(1))
-    return F.when(c.rlike(_CLOSED_ROOT) & (block != ""), F.transform(ids, strip))
+    return F.when(c.rlike(_CLOSED_ROOT) & (block != ""), ids)
+
+
+def xml_ids(c: Column) -> Column:
+    return F.transform(xml_id_texts(c), strip)
 
 
 def first_count(c: Column) -> Column:

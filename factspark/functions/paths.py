@@ -25,11 +25,11 @@ def path_source(path: Column, explicit: Column | None = None) -> Column:
 
 def parent_dir(path: Column) -> Column:
     """The name of the folder a file lies in."""
-    return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    return F.regexp_extract(path, r"(?s)^(?:.*/)?([^/]+)/[^/]+$", 1)
 
 
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]+)$", 1)
+    return F.regexp_extract(path, r"(?s)^(?:.*/)?([^/]+)$", 1)
 
 
 def decode_blanks(c: Column) -> Column:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factspark.functions.markup import first_count, xml_ids
+from factspark.functions.markup import first_count, xml_id_texts
 from factspark.functions.paths import article_url, decode_blanks, parent_dir
+from factspark.functions.strings import strip
 
 
 def article_list(raw: DataFrame, path: str = "source_file") -> DataFrame:
@@ -27,9 +28,15 @@ def popularity(lists: DataFrame, source: str) -> DataFrame:
 
 def article_ids(raw: DataFrame, path: str = "source_file") -> DataFrame:
     """One row per folder and found id, repeats kept: ``breed_group, article_id``."""
-    return raw.select(
-        parent_dir(F.col(path)).alias("breed_group"),
-        F.explode(xml_ids(F.col("payload"))).alias("article_id"),
+    # Plain explode would also filter on the array's size, which computes it again.
+    found = F.explode_outer(xml_id_texts(F.col("payload"))).alias("article_id")
+    return (
+        raw.select(path, found)
+        .filter(F.col("article_id").isNotNull())
+        .select(
+            parent_dir(F.col(path)).alias("breed_group"),
+            strip(F.col("article_id")).alias("article_id"),
+        )
     )
 
 

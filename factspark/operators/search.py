@@ -144,13 +144,14 @@ TERM_KINDS = ("all_of", "any_of", "none_of", "prefix")
 
 def structured_terms(queries: DataFrame) -> DataFrame:
     """``query_id`` and word arrays ``all_of, any_of, none_of, prefix`` to rows of words."""
-    arrays = [
-        F.transform(
+
+    def tagged(kind: str) -> Column:
+        return F.transform(
             F.coalesce(F.col(kind), F.array().cast("array<string>")),
-            lambda t, kind=kind: F.struct(F.lit(kind).alias("kind"), F.lower(t).alias("term")),
+            lambda t: F.struct(F.lit(kind).alias("kind"), F.lower(t).alias("term")),
         )
-        for kind in TERM_KINDS
-    ]
+
+    arrays = [tagged(kind) for kind in TERM_KINDS]
     return queries.select(
         "query_id", F.explode(F.array_distinct(F.concat(*arrays))).alias("t")
     ).select("query_id", "t.*")

@@ -25,7 +25,7 @@ from factspark.operators.literature import article_list, popularity
 from factspark.plans import inputs as I
 from factspark.plans.inputs import STRIP, oracle
 from factspark.plans.registry import query
-from factspark.sources.readers import flatten_breeds
+from factspark.sources.readers import flatten_breeds, use_all_cores
 from factspark.sources.writers import text_payloads
 
 KEYS = ", ".join(FACT)
@@ -234,7 +234,8 @@ def op_fuse_facts(spark, sf_dir):
     SELECT breed, fact_type, fact_value, source, min(hdfs_path) AS hdfs_path
     FROM norm GROUP BY ALL"""))
 def op_normalize_candidates(spark, sf_dir):
-    return normalize_candidates(I.candidates(spark, sf_dir), ["hdfs_path"])
+    candidates = use_all_cores(I.candidates(spark, sf_dir), "hdfs_path")
+    return normalize_candidates(candidates, ["hdfs_path"])
 
 
 @query(oracle("structured", f"""

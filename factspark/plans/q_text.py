@@ -32,6 +32,7 @@ from factspark.plans import inputs as I
 from factspark.plans.inputs import STRIP, oracle, table
 from factspark.plans.q_facts import extracted
 from factspark.plans.registry import query
+from factspark.session import cut_lineage
 from factspark.sources.readers import use_all_cores
 
 KEYS = ", ".join(FACT)
@@ -303,7 +304,8 @@ def crawl_talk_articles(spark, sf_dir):
 
 
 def _facts(spark, sf_dir):
-    return fuse_facts(I.candidates(spark, sf_dir), I.weights(spark, sf_dir))
+    """The stored fact table a search runs over."""
+    return cut_lineage(fuse_facts(I.candidates(spark, sf_dir), I.weights(spark, sf_dir)))
 
 
 @query(oracle("postings", f"""
