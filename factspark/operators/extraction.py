@@ -173,7 +173,8 @@ def _lexicon(spark: SparkSession, phrases: DataFrame | None, rules: Rules) -> _L
     starts = spark.createDataFrame(literal, "first_word string, rule string, n int, slot int")
     for other in tables:
         starts = starts.unionByName(other)
-    return _Lexicon(starts, entries, adjectives, longest, size <= BROADCAST_BYTES)
+    copies = 1 if adjectives is None else 1 + SLOTS  # of a phrase with a subject label
+    return _Lexicon(starts, entries, adjectives, longest, size * copies <= BROADCAST_BYTES)
 
 
 def token_rows(docs: DataFrame, text: str, keep: Sequence[str], lookahead: int) -> DataFrame:
@@ -193,28 +194,27 @@ def token_rows(docs: DataFrame, text: str, keep: Sequence[str], lookahead: int)
         F.slice("_w", k + 1, F.greatest(size - k, F.lit(0))).alias(f"w{k}")
         for k in range(1, lookahead + 1)
     ]
-    contexts = F.transform(
-        F.arrays_zip(*shifted), lambda t: F.array(*[t[f"w{k}"] for k in range(lookahead + 1)])
-    )
-    return docs.select(*keep, listed.alias("_w")).select(
-        *keep, F.posexplode(contexts).alias("pos", "context")
+    context = F.array(*[F.col(f"_t.w{k}") for k in range(lookahead + 1)])
+    return (
+        docs.select(*keep, listed.alias("_w"))
+        .select(*keep, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "_t"))
+        .select(*keep, "pos", context.alias("context"))
     )
 
 
 def _word(k: Column | int) -> Column:
     """The lower-cased word ``k`` words on; NULL past the end of the text."""
-    return F.lower(F.get("context", F.lit(k) if isinstance(k, int) else k))
+    return F.get("low", F.lit(k) if isinstance(k, int) else k)
 
 
-def _copula(slot: str) -> Column:
-    """The word at a slot's copula place behind a subject of ``n`` words."""
-    return _word(F.col("n") + F.floor(F.col(slot) / PREDICATE_REACH).cast("int"))
+def _copula_place(slot: str) -> Column:
+    """Where a slot's copula stands behind a subject of ``n`` words."""
+    return F.col("n") + F.floor(F.col(slot) / PREDICATE_REACH).cast("int")
 
 
 def _predicate(slot: str) -> Column:
     """The word at a slot's adjective place behind a subject of ``n`` words."""
-    copula = F.col("n") + F.floor(F.col(slot) / PREDICATE_REACH).cast("int")
-    return _word(copula + 1 + F.col(slot) % PREDICATE_REACH)
+    return _word(_copula_place(slot) + 1 + F.col(slot) % PREDICATE_REACH)
 
 
 def _events(
@@ -238,24 +238,29 @@ def _events(
     rule, n = F.col("rule"), F.col("n")
     nothing = F.lit(None).cast("string")
 
-    first_word = F.when(F.col("pos") == 0, "").otherwise(_word(0))
+    first_word = F.when(F.col("pos") == 0, "").otherwise(F.lower(F.get("context", F.lit(0))))
     started = lookup_join(
         token_rows(docs, text, [*key, *carry], lookahead).withColumn("first_word", first_word),
         lexicon.starts, ["first_word"], spread_by=[*key, "pos"], small=lexicon.small,
     )
 
-    # A phrase that would run past the end of the text is NULL and matches nothing.
-    complete = F.get("context", n - 1).isNotNull()
-    phrase_text = F.lower(F.array_join(F.slice("context", F.lit(1), n), " "))
     lemma = check = nothing
     if with_words:
         is_head = rule.isin(NEAR, NEXT_NEAR)
         copulas = list(rules.copulas)
+        # The word a rule hangs on: a head for an adjective, a copula for a subject.
+        pivot = F.lower(F.get("context", F.when(is_head, n).otherwise(_copula_place("slot"))))
         started = started.filter(
             rule.isin(PHRASE, DOCUMENT)
-            | (is_head & _word(n).isin(list(rules.heads)))
-            | ((rule == SUBJECT) & _copula("slot").isin(copulas))
+            | (is_head & pivot.isin(list(rules.heads)))
+            | ((rule == SUBJECT) & pivot.isin(copulas))
         )
+    started = started.withColumn("low", F.transform("context", F.lower))
+
+    # A phrase that would run past the end of the text is NULL and matches nothing.
+    complete = _word(n - 1).isNotNull()
+    phrase_text = F.array_join(F.slice("low", F.lit(1), n), " ")
+    if with_words:
         lemmas = F.create_map(*[F.lit(part) for pair in rules.heads.items() for part in pair])
         lemma = F.when(is_head, lemmas[_word(n)])
         # Words to check are never NULL: past the end of the text no adjective matches.
@@ -279,10 +284,10 @@ def _events(
             {c: F.lit(None).cast(t) for c, t in lexicon.entries.dtypes if c != "phrase"}
         )
     if with_words:
-        in_slot = F.col("phrase_slot") >= 0
+        in_slot, copula = F.col("phrase_slot") >= 0, _word(_copula_place("phrase_slot"))
         predicate = F.coalesce(_predicate("phrase_slot"), F.lit(""))
         found = (
-            found.filter(F.coalesce(~in_slot, F.lit(True)) | _copula("phrase_slot").isin(copulas))
+            found.filter(F.coalesce(~in_slot, F.lit(True)) | copula.isin(copulas))
             .withColumn("check_word", F.when(in_slot, predicate).otherwise(F.col("check_word")))
             .withColumn("rule", F.when(in_slot, SUBJECT_PHRASE).otherwise(rule))
         )

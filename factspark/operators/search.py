@@ -175,19 +175,17 @@ def match_structured(facts: DataFrame, rows: DataFrame, queries: DataFrame,
         F.filter("_lengths", lambda n: n <= F.length("lexeme")),
         lambda n: F.substr(F.col("lexeme"), F.lit(1), n),
     )
-    by_prefix = (
-        words.withColumn("_lengths", lengths)
-        .select(*key, F.explode(beginnings).alias("term"))
-        .distinct()
+    by_prefix = words.withColumn("_lengths", lengths).select(
+        *key, "lexeme", F.explode(beginnings).alias("term")
     )
 
     hits = lookup_join(words, exact, ["lexeme"], spread_by=[*key, "lexeme"], small=small).select(
         "query_id", *key, "kind", F.col("lexeme").alias("term")
     )
     hits = hits.unionByName(
-        lookup_join(by_prefix, prefixes, ["term"], spread_by=[*key, "term"], small=small).select(
-            "query_id", *key, "kind", "term"
-        )
+        lookup_join(by_prefix, prefixes, ["term"], spread_by=[*key, "lexeme"], small=small)
+        .select("query_id", *key, "kind", "term")
+        .distinct()
     )
     needed = terms.groupBy("query_id").agg(
         F.count_if(F.col("kind").isin("all_of", "prefix")).alias("n_required"),

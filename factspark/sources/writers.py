@@ -98,11 +98,11 @@ def dense_ids(df: DataFrame, order_by: Sequence[str | Column], column: str = "id
     Rows are sorted by range, numbered within each task, and shifted by the number of
     rows in the tasks before. The sorted rows are stored first: a range sort picks its
     bounds by sampling, so counting and numbering must read the same rows. Equal rows
-    spread over tasks by their place in the input.
+    spread over tasks by their place in the input, which is stored too: were a lost
+    task to number its rows anew, rows could move between ranges.
     """
-    spark = df.sparkSession
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    placed = cut_lineage(df).withColumn("_place", F.monotonically_increasing_id())
     stored = cut_lineage(
         placed.repartitionByRange(*order, "_place")
         .sortWithinPartitions(*order, "_place")
