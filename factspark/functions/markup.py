@@ -6,6 +6,7 @@ ends the tag, and named entities without a semicolon are left as they are.
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -38,7 +39,7 @@ def _character(code: Column) -> Column:
 
 
 def _decode_reference(ref: Column) -> Column:
-    named = F.create_map(*[F.lit(part) for pair in _NAMED.items() for part in pair])
+    named = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")  # folded to a constant
     hexa = F.regexp_extract(ref, r"^&#[xX]([0-9A-Fa-f]+);$", 1)
     decimal = F.regexp_extract(ref, r"^&#([0-9]+);$", 1)
     return (

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factspark.functions.strings import split_strip, strip, words
+from factspark.session import literal_table
 
 # The medical phrases every dictionary holds.
 STATIC_PATTERNS = [
@@ -57,7 +58,7 @@ def build_dictionary(lines: DataFrame, label: str) -> DataFrame:
 def patterns(spark: SparkSession, rows: list[tuple[str, str | None, str]]) -> DataFrame:
     """A dictionary from literal ``(label, canonical, alias)`` rows."""
     return _with_tokens(
-        spark.createDataFrame(rows, "label string, canonical string, alias string")
+        literal_table(spark, rows, "label string, canonical string, alias string")
     )
 
 

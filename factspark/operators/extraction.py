@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from factspark.functions.markup import html_to_text
 from factspark.functions.strings import feature_tag, sorted_set, tag
 from factspark.operators.joins import BROADCAST_BYTES, lookup_join
+from factspark.session import literal_table
 
 TOKEN = r"[\p{L}\p{N}]+"
 
@@ -131,8 +132,8 @@ def _lexicon(spark: SparkSession, phrases: DataFrame | None, rules: Rules) -> _L
     literal = [("", DOCUMENT, 0, NO_SLOT)]
     adjectives, longest, size = None, 1, 0
     tables = []
-    entries = spark.createDataFrame(
-        [], "phrase string, tier int, label string, canonical string, phrase_slot int"
+    entries = literal_table(
+        spark, [], "phrase string, tier int, label string, canonical string, phrase_slot int"
     )
     if phrases is not None:
         n_words = F.size(F.split("phrase", " "))
@@ -170,7 +171,7 @@ def _lexicon(spark: SparkSession, phrases: DataFrame | None, rules: Rules) -> _L
             ).select("first_word", "r.*")
         )
         literal += [(w, SUBJECT, 1, slot) for w in rules.subjects for slot in range(SLOTS)]
-    starts = spark.createDataFrame(literal, "first_word string, rule string, n int, slot int")
+    starts = literal_table(spark, literal, "first_word string, rule string, n int, slot int")
     for other in tables:
         starts = starts.unionByName(other)
     copies = 1 if adjectives is None else 1 + SLOTS  # of a phrase with a subject label

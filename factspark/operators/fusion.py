@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from factspark.operators.facts import normalize_columns
 from factspark.operators.joins import lookup_join
+from factspark.session import literal_table
 
 FACT = ["breed", "fact_type", "fact_value"]
 
@@ -15,7 +16,7 @@ DEFAULT_WEIGHTS = [("wikipedia", 0.6), ("petmd", 0.8), ("pubmed", 0.7), ("cat-ap
 
 
 def default_weights(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEFAULT_WEIGHTS, "source string, weight double")
+    return literal_table(spark, DEFAULT_WEIGHTS, "source string, weight double")
 
 
 def weighted_facts(candidates: DataFrame, weights: DataFrame) -> DataFrame:

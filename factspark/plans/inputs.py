@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from factspark.functions.strings import WHITESPACE
 from factspark.operators.dictionary import patterns
 from factspark.operators.extraction import Rules
+from factspark.session import literal_table
 from factspark.sources.readers import use_all_cores
 
 # Phrases that occur in the documents, which are made of invented syllables.
@@ -53,7 +54,7 @@ def dictionary(spark: SparkSession) -> DataFrame:
 def rules(spark: SparkSession, with_dictionary: bool = True) -> Rules:
     return Rules(
         dictionary(spark) if with_dictionary else None,
-        spark.createDataFrame([(w,) for w in ADJECTIVES], "token string"),
+        literal_table(spark, [(w,) for w in ADJECTIVES], "token string"),
         heads=HEADS,
         subjects=SUBJECTS,
         copulas=COPULAS,
@@ -239,12 +240,12 @@ STRUCTURED = [
 
 
 def search_queries(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(QUERIES, "query_id int, query string")
+    return literal_table(spark, QUERIES, "query_id int, query string")
 
 
 def structured_queries(spark: SparkSession) -> DataFrame:
     words = ", ".join(f"{kind} array<string>" for kind in ("all_of", "any_of", "none_of", "prefix"))
-    return spark.createDataFrame(STRUCTURED, f"query_id int, {words}")
+    return literal_table(spark, STRUCTURED, f"query_id int, {words}")
 
 
 def _literal(value) -> str:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def build_session(app_name: str = "factspark", **conf: str) -> SparkSession:
@@ -26,6 +28,13 @@ def build_session(app_name: str = "factspark", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of fixed rows, kept in the plan itself so that reading it costs no job."""
+    fields = StructType.fromDDL(schema).fieldNames()
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(fields)}
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
