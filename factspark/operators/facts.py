@@ -73,7 +73,7 @@ def parse_facts(df: DataFrame, fact: str = "fact", entity_label: str = "BREED")
     ).otherwise(F.lower("_prefix"))
     value = F.when(keyed, strip(after_first(F.col("_value"), "="))).otherwise(F.col("_value"))
     return (
-        split.filter(F.col("_value").isNotNull() & (F.col("_prefix") != entity_label))
+        split.filter(F.col(fact).contains(":") & (F.col("_prefix") != entity_label))
         .withColumns({"fact_type": kind, "fact_value": value})
         .filter(F.col("fact_value") != "")
         .drop("_prefix", "_value")
