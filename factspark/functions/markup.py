@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from factspark.functions.strings import WHITESPACE_CLASS, let, strip
 
+# What counts as markup, and where a search response states its hits.
 HAS_TAG = r"<[^>]+>"
+COUNT = r"<Count>(\d+)</Count>"
 
 # Left to right, whichever starts first: a comment, a block whose content is not
 # text, then any other tag. An unclosed comment or block runs to the end.
@@ -99,7 +101,7 @@ def xml_ids(c: Column) -> Column:
 
 def first_count(c: Column) -> Column:
     """The number in the first ``<Count>`` element; NULL where there is none."""
-    return F.regexp_extract(c, r"<Count>(\d+)</Count>", 1).try_cast("bigint")
+    return F.regexp_extract(c, COUNT, 1).try_cast("bigint")
 
 
 def page_heading(html: Column) -> Column:

@@ -97,11 +97,6 @@ def array_where(*pairs: tuple[Column, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(cond, value) for cond, value in pairs]))
 
 
-def map_array(c: Column, fn: Callable[[Column], Column]) -> Column:
-    """``transform`` with a missing array as an empty one."""
-    return F.transform(F.coalesce(c, F.array().cast("array<string>")), fn)
-
-
 def sorted_set(c: Column) -> Column:
     """The distinct elements in code-point order."""
     return F.sort_array(F.array_distinct(c))

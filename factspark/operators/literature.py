@@ -9,10 +9,13 @@ from factspark.functions.markup import first_count, xml_id_texts
 from factspark.functions.paths import article_url, decode_blanks, parent_dir
 from factspark.functions.strings import strip
 
+# Fixed value: search responses lie in one folder per entity.
+LIST_FOLDER = r"/raw/pubmed/article_list/([^/]+)/"
+
 
 def article_list(raw: DataFrame, path: str = "source_file") -> DataFrame:
     """Search responses with ``breed`` taken from the folder they lie in."""
-    folder = F.regexp_extract(path, r"/raw/pubmed/article_list/([^/]+)/", 1)
+    folder = F.regexp_extract(path, LIST_FOLDER, 1)
     return raw.withColumn("breed", decode_blanks(folder)).drop(path)
 
 

@@ -40,7 +40,6 @@ from factspark.sources.readers import (
 from factspark.sources.writers import preview
 
 BREED_FIELDS = "name, alt_names, origin, temperament"
-PAGE_URL = "'https://api.example.org/v1/breeds?page=' || part_no // 20"
 
 
 # Projections and filters
