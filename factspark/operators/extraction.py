@@ -391,16 +391,15 @@ def gazetteer_match(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id",
     rules = Rules(dictionary, place_labels=place_labels)
     phrases = preferred_phrases(phrase_table(dictionary, place_labels))
     hits = _events(docs, [key], text, [], rules, phrases).filter(F.col("rule") == PHRASE)
-    numbered = overlap_runs(hits, [key])
-    contested = (
-        numbered.filter("run > 0")
+    kept = F.when(F.col("run") == 0, F.col("spans")).otherwise(accept_spans(F.col("spans")))
+    return (
+        overlap_runs(hits, [key])
         .groupBy(key, "run")
         .agg(F.collect_list(_span()).alias("spans"))
-        .select(key, F.explode(accept_spans(F.col("spans"))).alias("s"))
+        .select(key, F.explode_outer(kept).alias("s"))
         .select(key, (-F.col("s.minus_n")).alias("n"), *[F.col(f"s.{c}") for c in _SPAN])
+        .drop("end")
     )
-    alone = numbered.filter("run = 0").select(key, "n", *_SPAN)
-    return alone.unionByName(contested).drop("end")
 
 
 def word_facts(docs: DataFrame, rules: Rules, key: str = "doc_id", text: str = "text") -> DataFrame:
