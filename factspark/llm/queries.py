@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from factspark.llm.bpe import bpe_round_trip
+from factspark.llm.token_counts import token_counts
+from factspark.llm.token_files import token_file_digests
 from factspark.plans.registry import query
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,3 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query()
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), PIECE_BPE, limit=4096)
+
+
+@query()
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digests(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0)
