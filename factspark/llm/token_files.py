@@ -1,9 +1,9 @@
 """Token ids as flat binary files that training jobs map into memory.
 
-A shard holds three files of little-endian integers: ``.ids`` (unsigned 32-bit ids of all
-its documents end to end, each document closed by the end id), ``.offsets`` (64-bit, one
-more than documents: where each document starts in the shard) and ``.docs`` (64-bit
-document ids). Shards follow each other in the order of document ids; the manifest names
+A shard holds three files of little-endian integers: ``.ids`` (the ids of all its documents
+end to end, each document closed by the end id, unsigned, of 16 bits where the vocabulary
+fits and of 32 bits otherwise), ``.offsets`` (64-bit, one more than documents: where each
+document starts in the shard) and ``.docs`` (64-bit document ids). Shards follow each other in the order of document ids; the manifest names
 them and gives each its base, the number of ids in all shards before it.
 """
 
@@ -26,7 +26,9 @@ from factspark.llm.blocks import gather, small_batches
 from factspark.llm.bpe import PieceTable, encode_texts, load
 from factspark.session import fresh_path
 
-_SHARD = "shard int, path string, n_docs long, n_ids long"
+_SHARD = "shard int, path string, id_bits int, n_docs long, n_ids long"
+
+_ARROW_SHARD = [("shard", pa.int32()), ("path", pa.string()), ("id_bits", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]
 
 
 def _library_table(path: str) -> PieceTable:
@@ -77,6 +79,8 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = open_folder(folder)
         system.create_dir(base, recursive=True)
+        model = load(tokenizer)
+        id_bits = 16 if max(model.size - 1, end_id) < 1 << 16 else 32
         shard = TaskContext.get().partitionId()
         path = f"shard-{shard:06d}-{uuid.uuid4().hex}"
         n_docs = n_ids = 0
@@ -87,9 +91,9 @@ def write_token_files(
         ):
             offsets_file.write(np.zeros(1, "<i8").tobytes())
             for table in gather(batches):
-                ids, counts = encode_texts(table["text"], load(tokenizer), _table(tokenizer))
+                ids, counts = encode_texts(table["text"], model, _table(tokenizer))
                 ends = np.cumsum(counts + 1)
-                closed = np.full(len(ids) + len(counts), end_id, "<u4")
+                closed = np.full(len(ids) + len(counts), end_id, f"<u{id_bits // 8}")
                 inner = np.ones(len(closed), bool)
                 inner[ends - 1] = False
                 closed[inner] = ids
@@ -99,8 +103,8 @@ def write_token_files(
                 n_docs += len(counts)
                 n_ids += len(closed)
         if n_docs:
-            row = pa.table({"shard": pa.array([shard], pa.int32()), "path": [path], "n_docs": [n_docs], "n_ids": [n_ids]})
-            yield from row.to_batches()
+            row = {"shard": shard, "path": path, "id_bits": id_bits, "n_docs": n_docs, "n_ids": n_ids}
+            yield pa.RecordBatch.from_pylist([row], pa.schema(_ARROW_SHARD))
 
     stored = f"{folder}/manifest"
     dealt.mapInArrow(write, _SHARD).write.parquet(stored)
@@ -119,7 +123,11 @@ def _mapped(system: fs.FileSystem, path: str, kind: str) -> np.ndarray:
 
 
 def read_token_files(manifest: DataFrame, folder: str, rows_per_batch: int = 20_000) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files alone."""
+    """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files alone.
+
+    The checksum is over the ids as little-endian unsigned 32-bit integers, whatever
+    their width in the file.
+    """
     shards = manifest.count()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,14 +135,14 @@ def read_token_files(manifest: DataFrame, folder: str, rows_per_batch: int = 20_
         for batch in batches:
             for row in batch.to_pylist():
                 stem = f"{base}/{row['path']}"
-                ids = _mapped(system, f"{stem}.ids", "<u4")
+                ids = _mapped(system, f"{stem}.ids", f"<u{row['id_bits'] // 8}")
                 offsets = _mapped(system, f"{stem}.offsets", "<i8")
                 names = _mapped(system, f"{stem}.docs", "<i8")
                 for first in range(0, len(names), rows_per_batch):
                     part = slice(first, min(first + rows_per_batch, len(names)))
                     edges = np.array(offsets[part.start : part.stop + 1])
                     doc = np.array(names[part])
-                    sums = [zlib.crc32(ids[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+                    sums = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
                     yield pa.record_batch({
                         "doc_id": pa.array(doc, pa.int64(), mask=doc == -(2**63)),
                         "start": pa.array(edges[:-1] + row["base"], pa.int64()),
