@@ -7,7 +7,10 @@ read off prefix sums: looking up a token costs no Python object.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +27,28 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 _BYTE_CODES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, unless the session already has a smaller bound."""
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make the session ready for Python tasks: bounded Arrow batches, this package on the workers."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="factspark-")) / "factspark-tasks.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(application)
 
 
 def map_blocks(df: DataFrame, fn: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """``fn`` over blocks of rows of about ``BLOCK_BYTES``."""
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gather(batches):

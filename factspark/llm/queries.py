@@ -9,8 +9,10 @@ from factspark.llm.bpe import bpe_round_trip
 from factspark.llm.mixing import mix_sources
 from factspark.llm.quality_rules import quality_verdicts
 from factspark.llm.simhash import simhash_dedup
+from factspark.llm.suffix_dedup import suffix_dedup
 from factspark.llm.token_counts import token_counts
 from factspark.llm.token_files import token_file_digests
+from factspark.llm.topk import top_k
 from factspark.plans.registry import query
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +23,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), length=400)
+
+
+_TOPK_SQL = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+      FROM e q JOIN e d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query(_TOPK_SQL)
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
 @query()
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)

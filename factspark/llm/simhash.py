@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factspark.llm.blocks import chunks, flat_bytes, map_blocks
+from factspark.llm.blocks import chunks, flat_bytes, map_blocks, prepare
 from factspark.llm.components import components, stored
 from factspark.llm.segments import words
 
@@ -165,6 +165,7 @@ def links(codes: DataFrame, max_distance: int) -> DataFrame:
                 (F.col("g.way") + 1).alias("sub_way"), F.col("g.key").alias("sub_key"),
             ))
     keys = ["way", "key", "sub_way", "sub_key"]
+    prepare(codes.sparkSession)
     dealt = rows.select(*keys, "fingerprint").repartition(*keys).sortWithinPartitions(*keys)
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

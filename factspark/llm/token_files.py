@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factspark.llm.blocks import gather, small_batches
+from factspark.llm.blocks import gather, prepare
 from factspark.llm.bpe import PieceTable, encode_texts, load
 from factspark.session import fresh_path
 
@@ -70,7 +70,7 @@ def write_token_files(
     each other ordered by text.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     named = docs.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text")
     )
