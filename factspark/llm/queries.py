@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from factspark.llm.bpe import bpe_round_trip
+from factspark.llm.langid import identify_languages
 from factspark.llm.mixing import mix_sources
+from factspark.llm.quality_classifier import classify
 from factspark.llm.quality_rules import quality_verdicts
 from factspark.llm.simhash import simhash_dedup
 from factspark.llm.suffix_dedup import suffix_dedup
@@ -80,6 +82,16 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
+@query()
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), PIECE_BPE, limit=4096)

@@ -16,10 +16,14 @@ _EDGE = 9
 
 def words(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of ``[^\\x20\\x09-\\x0D]``; ``bounds`` part texts."""
-    inside = ~_WORD_BREAK[flat]
+    return runs_of(~_WORD_BREAK[flat], bounds)
+
+
+def runs_of(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of true values that no bound parts."""
     first = inside.copy()
     first[1:] &= ~inside[:-1]
-    edges = bounds[(bounds > 0) & (bounds < len(flat))]
+    edges = bounds[(bounds > 0) & (bounds < len(inside))]
     first[edges] = inside[edges]
     last = inside.copy()
     last[:-1] &= ~inside[1:]
