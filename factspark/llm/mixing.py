@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factspark.llm.components import stored
-from factspark.llm.quality_rules import WORD, words
+from factspark.llm.quality_rules import WORD
 
 #: Words in a block. A shard's blocks are taken in runs, so that a small block cuts no
 #: more documents than a large one, and rounds less.
@@ -68,13 +68,13 @@ def shard_quotas(shards: DataFrame, block: int, most: float) -> DataFrame:
 
     half = F.col("n") / 2.0 + 1
     bounds = totals.withColumn("sure", seats_at(F.col("seats") - half)).withColumn("possible", seats_at(F.col("seats") + half))
+    bounds = bounds.withColumn("left", F.col("seats") - F.sum("sure").over(everything))
     contested = bounds.filter("possible > sure").select(
-        "source", "shard", "share", "seats", F.explode(F.sequence(F.col("sure"), F.col("possible") - 1)).alias("seat")
+        "source", "shard", "share", "left", F.explode(F.sequence(F.col("sure"), F.col("possible") - 1)).alias("seat")
     )
-    certain = bounds.agg(F.sum("sure").alias("taken"))
     quotient = F.col("share") / (2 * F.col("seat") + 1)
     rank = F.row_number().over(Window.orderBy(quotient.desc(), F.col("source").asc_nulls_last(), "shard", "seat"))
-    won = contested.withColumn("rank", rank).crossJoin(F.broadcast(certain)).filter("rank <= seats - taken")
+    won = contested.withColumn("rank", rank).filter("rank <= left")
     won = won.groupBy("source", "shard").agg(F.count(F.lit(1)).alias("won"))
     won = won.select(F.col("source").alias("won_source"), F.col("shard").alias("won_shard"), "won")
     same = F.col("source").eqNullSafe(F.col("won_source")) & (F.col("shard") == F.col("won_shard"))

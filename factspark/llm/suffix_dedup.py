@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from factspark.llm.blocks import (
     CHUNK_BYTES,
@@ -379,7 +380,14 @@ def _with_spans(docs: DataFrame, length: int) -> DataFrame:
     return docs.join(per_text, same_row(docs, per_text), "left").select(*[docs[c] for c in docs.columns], "spans")
 
 
-def _map_rows(df: DataFrame, fn: Callable[[bytes, list[tuple[int, int]]], tuple], kinds: dict[str, pa.DataType], keep: str, schema: str) -> DataFrame:
+def _map_rows(
+    df: DataFrame,
+    fn: Callable[[bytes, list[tuple[int, int]]], tuple],
+    kinds: dict[str, pa.DataType],
+    keep: str,
+    schema: str | StructType,
+) -> DataFrame:
+    """``keep`` and what ``fn`` makes of each text's bytes and removed runs."""
     prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,7 +438,7 @@ def without_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id
     def cut(raw: bytes, removed: list[tuple[int, int]]) -> tuple:
         return _kept(raw, removed).decode("utf-8", "ignore"), bool(removed)
 
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, left_text string, changed boolean"
+    schema = StructType([rows.schema["row"], StructField("left_text", StringType()), StructField("changed", BooleanType())])
     mapped = _map_rows(found, cut, {"left_text": pa.string(), "changed": pa.bool_()}, "row", schema)
     mapped = mapped.filter("not changed or left_text != ''")
     value = F.when(F.col("changed"), F.col("left_text")).otherwise(F.col("row")[text_column])
