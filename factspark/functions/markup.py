@@ -7,7 +7,7 @@ ends the tag, and named entities without a semicolon are left as they are.
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,41 +28,66 @@ NOT_TEXT = (
     r"|</?[a-z][^>]*>|<[!?][^>]*>"
 )
 
-_AMPERSANDS = ("&amp;", "&#38;", "&#038;", "&#x26;")
-_NAMED = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&apos;": "'"}
-_REFERENCE = r"&(?:[A-Za-z]+[0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+_NAMED = {name: text for name, text in html5.items() if name.endswith(";")}
+# A reference, or text without one: a text is a sequence of these.
+_PIECE = r"(?s)&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]+|#[xX][0-9A-Fa-f]+);|[^&]+|&"
+
+# The most frequent ones are looked at first, the others in the whole table.
+_FREQUENT = ("amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;")
+
+
+def _replaced(code: int) -> str | None:
+    """What a number stands for where it is not its own character; None where it is."""
+    if code == 0 or 0xD800 <= code <= 0xDFFF or code > 0x10FFFF:
+        return "\ufffd"
+    if 0x80 <= code <= 0x9F:
+        return bytes([code]).decode("windows-1252", "ignore") or chr(code)
+    control = code < 0x20 and chr(code) not in "\t\n\x0c\r"
+    return "" if control or code == 0x7F or 0xFDD0 <= code <= 0xFDEF or code & 0xFFFE == 0xFFFE else None
+
+
+_REPLACED = {code: _replaced(code) for code in [*range(0x20), *range(0x7F, 0xA0)]}
 
 
 def _character(code: Column) -> Column:
-    """The character with a code point; the replacement character where there is none."""
-    invalid = code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
-    safe = F.when(invalid, F.lit(0xFFFD)).otherwise(code)
-    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    """What a numeric reference stands for. ``code`` is NULL for a number too large to read."""
+    listed = F.from_json(
+        F.lit(json.dumps({str(c): t for c, t in _REPLACED.items() if t is not None})),
+        "map<string,string>",
+    )
+    no_character = code.isNull() | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    nothing = code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE)
+    own = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return (
+        F.when(no_character, "\ufffd")
+        .when(nothing, "")
+        .when(code < 0xA0, F.coalesce(listed[code.cast("string")], own))
+        .otherwise(own)
+    )
 
 
 def _decode_reference(ref: Column) -> Column:
+    """``&name;``, ``&#1;`` or ``&#x1;`` as text; an unknown name stays as it is."""
+    name = F.substr(ref, F.lit(2))
     named = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")  # folded to a constant
-    hexa = F.regexp_extract(ref, r"^&#[xX]([0-9A-Fa-f]+);$", 1)
-    decimal = F.regexp_extract(ref, r"^&#([0-9]+);$", 1)
-    return (
-        F.when(hexa != "", _character(F.conv(hexa, 16, 10).cast("bigint")))
-        .when(decimal != "", _character(decimal.cast("bigint")))
-        .otherwise(F.coalesce(named[ref], ref))
-    )
+    known = F.coalesce(named[name], ref)
+    for frequent in reversed(_FREQUENT):
+        known = F.when(name == frequent, _NAMED[frequent]).otherwise(known)
+    # Leading zeros don't count; what is left of a code point has at most seven digits.
+    hexa = F.regexp_extract(ref, r"^&#[xX]0*([0-9A-Fa-f]*);$", 1)
+    decimal = F.regexp_extract(ref, r"^&#0*([0-9]*);$", 1)
+    code = F.when(
+        ref.rlike("^&#[xX]"), F.when(F.length(hexa) <= 7, F.conv(F.concat(F.lit("0"), hexa), 16, 10))
+    ).otherwise(F.when(F.length(decimal) <= 7, F.concat(F.lit("0"), decimal)))
+    return F.when(ref.startswith("&#"), _character(code.cast("bigint"))).otherwise(known)
 
 
 def decode_entities(c: Column) -> Column:
-    """Character references to characters, each decoded once.
-
-    Only the references that occur are replaced. The ampersand comes last, so
-    ``&amp;lt;`` is ``&lt;`` and not ``<``.
-    """
-    found = F.array_distinct(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0)))
-    plain = F.filter(found, lambda ref: ~F.lower(ref).isin(*_AMPERSANDS))
-    decoded = F.reduce(plain, c, lambda text, ref: F.replace(text, ref, _decode_reference(ref)))
-    for ampersand in (*_AMPERSANDS, "&#X26;"):
-        decoded = F.replace(decoded, F.lit(ampersand), F.lit("&"))
-    return F.when(c.contains("&"), decoded).otherwise(c)
+    """Character references to characters, in one pass, so that nothing is decoded twice."""
+    pieces = F.regexp_extract_all(c, F.lit(_PIECE), F.lit(0))
+    is_reference = lambda p: p.startswith("&") & (F.length(p) > 1)
+    decoded = F.transform(pieces, lambda p: F.when(is_reference(p), _decode_reference(p)).otherwise(p))
+    return F.when(c.contains("&"), F.array_join(decoded, "")).otherwise(c)
 
 
 def has_tag(c: Column) -> Column:
@@ -80,18 +105,20 @@ def html_to_text(c: Column) -> Column:
     return F.when(has_tag(c), text).otherwise(c)
 
 
-# One root element, after any declarations, closed by the last tag.
-_CLOSED_ROOT = r"(?s)^\s*(?:<[?!][^>]*>\s*)*<([A-Za-z]\w*)[^>]*>.*</\1\s*>\s*\z"
+# One root element, after any declarations and comments, closed by the last tag.
+_OUTSIDE = r"\s*(?:<!--.*?-->\s*|<\?.*?\?>\s*|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>\s*)*"
+_CLOSED_ROOT = rf"(?s)^{_OUTSIDE}<([A-Za-z_][\w:.-]*)[^>]*>.*</\1\s*>{_OUTSIDE}\z"
 
 
 def xml_id_texts(c: Column) -> Column:
     """The ids of the first id list in a search response as written; NULL where there is none.
 
     Built-in XPath stops the job on one malformed record, a pattern does not. A
-    response whose root element is not closed at the end is taken as malformed.
+    response whose root element is not closed at the end is taken as malformed; tags
+    that cross each other inside it are not noticed.
     """
-    block = F.regexp_extract(c, r"(?s)<IdList(?:\s*/>|>(.*?)</IdList>)", 1)
-    ids = F.regexp_extract_all(block, F.lit(r"<Id>([^<]+)</Id>"), F.lit(1))
+    block = F.regexp_extract(c, r"(?s)<IdList(?:\s[^>]*)?(?:/>|>(.*?)</IdList\s*>)", 1)
+    ids = F.regexp_extract_all(block, F.lit(r"<Id(?:\s[^>]*)?>([^<]+)</Id\s*>"), F.lit(1))
     return F.when(c.rlike(_CLOSED_ROOT) & (block != ""), ids)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from factspark.functions.strings import strip, title_case
+from factspark.functions.strings import let, strip, title_case
 
 UNKNOWN_SOURCE = "unknown"
 
@@ -60,23 +60,49 @@ def safe_file_name(title: Column) -> Column:
 def resolve_url(base: Column, link: Column) -> Column:
     """An absolute URL for a link found on the page ``base``.
 
-    Absolute links stay; ``//host/x``, ``/x``, ``?x``, ``#x`` and relative links are
-    joined to the base. Dot segments are not folded.
+    An empty link is the base, absolute links stay; ``//host/x``, ``/x``, ``?x``, ``#x``
+    and relative links are joined to the base, and dot segments are folded.
     """
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
-    folder = F.when(page == origin, F.concat(origin, F.lit("/"))).otherwise(
-        F.regexp_extract(page, r"^(.*/)", 1)
-    )
+    path = F.regexp_extract(link, r"^([^?#]*)", 1)
+    rest = F.substr(link, F.length(path) + 1)
+    own_path = F.substr(page, F.length(origin) + 1)
+    joined = let(_merged(own_path, path), _folded)
     return (
-        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
+        F.when(link == "", base)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(origin, link))
         .when(link.startswith("?"), F.concat(page, link))
         .when(link.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), link))
-        .otherwise(F.concat(folder, link))
+        .otherwise(F.concat(origin, joined, rest))
+    )
+
+
+def _merged(own: Column, path: Column) -> Column:
+    """The segments of a link's path; of a relative one behind its page's folder, without empty ones inside."""
+    folder = F.split(F.regexp_extract(own, r"(?s)^(.*/)?", 1), "/", -1)
+    folder = F.slice(folder, 1, F.greatest(F.size(folder) - 1, F.lit(0)))
+    relative = let(
+        F.concat(folder, F.split(path, "/", -1)),
+        lambda all_: F.filter(all_, lambda s, i: (s != "") | (i == 0) | (i == F.size(all_) - 1)),
+    )
+    return F.when(path.startswith("/"), F.split(path, "/", -1)).otherwise(relative)
+
+
+def _folded(segments: Column) -> Column:
+    """Segments as a path that starts with a slash, after ``.`` and ``..`` took effect."""
+    kept = F.reduce(
+        segments,
+        F.slice(segments, 1, 0),
+        lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(s == ".", acc)
+        .otherwise(F.concat(acc, F.array(s))),
     )
+    ends_open = F.element_at(segments, -1).isin(".", "..")
+    path = F.concat(F.array_join(kept, "/"), F.when(ends_open, "/").otherwise(""))
+    return F.concat(F.when(path.startswith("/"), "").otherwise("/"), path)
 
 
 def search_term(name: Column) -> Column:

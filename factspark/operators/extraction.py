@@ -16,21 +16,25 @@ what such a model would give:
 
 How it runs: each word becomes one row that carries the few words after it. Lookups
 are joins on the word or phrase, so nothing but words that start a rule leaves the
-scan stage, and the only shuffle moves those hits to their document.
+scan stage, and the only shuffle moves those hits to their document. A phrase of more
+than ``PHRASE_WINDOW`` words is looked up in pieces, so that no dictionary widens the
+rows of the corpus. The overlaps of a document are resolved in one pass over its hits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from factspark.functions.markup import html_to_text
 from factspark.functions.strings import feature_tag, sorted_set, tag
-from factspark.operators.joins import BROADCAST_BYTES, lookup_join
-from factspark.session import literal_table
+from factspark.operators.joins import fits_broadcast, lookup_join
+from factspark.session import cut_lineage, literal_table
 
 TOKEN = r"[\p{L}\p{N}]+"
 
@@ -38,6 +42,9 @@ TOKEN = r"[\p{L}\p{N}]+"
 COPULA_REACH = 3
 PREDICATE_REACH = 2
 
+# Words of a phrase that are looked up at once; longer phrases are looked up in pieces.
+PHRASE_WINDOW = 8
+
 # The words the rules are about.
 HEADS = {
     **{lemma: lemma for lemma in ("fur", "coat", "ear", "tail", "body", "size", "eye")},
@@ -119,54 +126,68 @@ NO_SLOT = -1
 
 @dataclass(frozen=True)
 class _Lexicon:
-    """The lookup tables of one set of rules, measured once."""
+    """The lookup tables of one set of rules, each with whether it fits a broadcast."""
 
     starts: DataFrame  # first word -> what it can start: rule, n, slot
-    entries: DataFrame  # phrase -> dictionary entry; subject labels once more per slot
+    starts_fit: bool
+    entries: DataFrame  # phrase or piece of one -> dictionary entry
+    entries_fit: bool
     adjectives: DataFrame | None
-    longest: int
-    small: bool
+    adjectives_fit: bool
+    longest: int  # words of the longest piece
+    pieces: bool  # whether any phrase is looked up in pieces
+
+
+_ENTRY = (
+    "phrase string, tier int, label string, canonical string, whole string, piece int, pieces int"
+)
+
+
+def _entries(phrases: DataFrame) -> DataFrame:
+    """Phrases as ``_ENTRY``: ``whole`` is the phrase that a piece belongs to."""
+    words = F.split("phrase", " ")
+    n_pieces = F.ceil(F.size(words) / PHRASE_WINDOW).cast("int")
+    piece = F.array_join(
+        F.slice(words, F.col("piece") * PHRASE_WINDOW + 1, F.lit(PHRASE_WINDOW)), " "
+    )
+    return phrases.select(
+        "phrase", "tier", "label", "canonical", n_pieces.alias("pieces"),
+        F.explode(F.sequence(F.lit(0), n_pieces - 1)).alias("piece"),
+    ).select(
+        piece.alias("phrase"), "tier", "label", "canonical", F.col("phrase").alias("whole"),
+        "piece", "pieces",
+    )
 
 
 def _lexicon(spark: SparkSession, phrases: DataFrame | None, rules: Rules) -> _Lexicon:
     literal = [("", DOCUMENT, 0, NO_SLOT)]
-    adjectives, longest, size = None, 1, 0
+    adjectives, longest, pieces = None, 1, False
     tables = []
-    entries = literal_table(
-        spark, [], "phrase string, tier int, label string, canonical string, phrase_slot int"
-    )
+    entries = literal_table(spark, [], _ENTRY)
     if phrases is not None:
+        # Stored once: it is measured and joined, and its own lineage may be long.
+        entries = cut_lineage(_entries(phrases))
         n_words = F.size(F.split("phrase", " "))
-        length = F.octet_length("phrase") + F.coalesce(F.octet_length("canonical"), F.lit(0)) + 40
-        longest, size = phrases.agg(
-            F.coalesce(F.max(n_words), F.lit(1)), F.coalesce(F.sum(length), F.lit(0))
-        ).first()
+        longest, most = entries.agg(F.max(n_words), F.max("pieces")).first()
+        longest, pieces = longest or 1, (most or 1) > 1
         first_word = F.element_at(F.split("phrase", " "), 1)
         tables.append(
-            phrases.select(
+            entries.select(
                 first_word.alias("first_word"),
                 F.lit(PHRASE).alias("rule"),
                 n_words.alias("n"),
                 F.lit(NO_SLOT).alias("slot"),
             ).distinct()
         )
-        no_slot, every_slot = F.array(F.lit(NO_SLOT)), F.sequence(F.lit(NO_SLOT), F.lit(SLOTS - 1))
-        has_slots = F.col("label").isin(list(rules.subject_labels)) & F.lit(
-            rules.adjectives is not None
-        )
-        entries = phrases.withColumn(
-            "phrase_slot", F.explode(F.when(has_slots, every_slot).otherwise(no_slot))
-        )
     if rules.adjectives is not None:
         words = rules.adjectives.select(F.lower("token").alias("check_word")).distinct()
-        size += words.agg(F.coalesce(F.sum(F.octet_length("check_word") + 40), F.lit(0))).first()[0]
-        adjectives = words.withColumn("is_adjective", F.lit(True))
+        adjectives = cut_lineage(words.withColumn("is_adjective", F.lit(True)))
         pair = [
             F.struct(F.lit(r).alias("rule"), F.lit(n).alias("n"), F.lit(NO_SLOT).alias("slot"))
             for r, n in ((NEAR, 1), (NEXT_NEAR, 2))
         ]
         tables.append(
-            words.select(
+            adjectives.select(
                 F.col("check_word").alias("first_word"), F.explode(F.array(*pair)).alias("r")
             ).select("first_word", "r.*")
         )
@@ -174,8 +195,11 @@ def _lexicon(spark: SparkSession, phrases: DataFrame | None, rules: Rules) -> _L
     starts = literal_table(spark, literal, "first_word string, rule string, n int, slot int")
     for other in tables:
         starts = starts.unionByName(other)
-    copies = 1 if adjectives is None else 1 + SLOTS  # of a phrase with a subject label
-    return _Lexicon(starts, entries, adjectives, longest, size * copies <= BROADCAST_BYTES)
+    starts = cut_lineage(starts) if tables else starts
+    return _Lexicon(
+        starts, fits_broadcast(starts), entries, phrases is None or fits_broadcast(entries),
+        adjectives, adjectives is None or fits_broadcast(adjectives), longest, pieces,
+    )
 
 
 def token_rows(docs: DataFrame, text: str, keep: Sequence[str], lookahead: int) -> DataFrame:
@@ -221,13 +245,13 @@ def _predicate(slot: str) -> Column:
 def _events(
     docs: DataFrame, key: Sequence[str], text: str, carry: Sequence[str], rules: Rules,
     phrases: DataFrame | None,
-) -> DataFrame:
+) -> tuple[DataFrame, _Lexicon]:
     """Rows that a rule found, still with overlaps, and one DOCUMENT row per document.
 
     Columns: the key, ``carry`` (DOCUMENT rows only), rule, start, end, tier, n, label,
-    canonical, surface, fact. PHRASE rows are hits with an end; SUBJECT_PHRASE rows are
-    facts that hold if the hit at their span does; the others have no end, and their
-    facts are finished.
+    canonical, surface, fact, whole, piece, pieces. PHRASE rows are hits with an end, or
+    pieces of one; SUBJECT_PHRASE rows are facts that hold if the hit at their span
+    does; the others have no end, and their facts are finished.
 
     Which rules a word can start, which entry a phrase is and which words are
     adjectives are three lookup joins; the rules in between are plain expressions.
@@ -242,7 +266,7 @@ def _events(
     first_word = F.when(F.col("pos") == 0, "").otherwise(F.lower(F.get("context", F.lit(0))))
     started = lookup_join(
         token_rows(docs, text, [*key, *carry], lookahead).withColumn("first_word", first_word),
-        lexicon.starts, ["first_word"], spread_by=[*key, "pos"], small=lexicon.small,
+        lexicon.starts, ["first_word"], spread_by=[*key, "pos"], small=lexicon.starts_fit,
     )
 
     lemma = check = nothing
@@ -278,26 +302,33 @@ def _events(
     if phrases is not None:
         found = lookup_join(
             found, lexicon.entries, ["phrase"], "left",
-            spread_by=[*key, "pos", "n"], small=lexicon.small,
+            spread_by=[*key, "pos", "n"], small=lexicon.entries_fit,
         ).filter((rule != PHRASE) | F.col("tier").isNotNull())
     else:
         found = found.withColumns(
             {c: F.lit(None).cast(t) for c, t in lexicon.entries.dtypes if c != "phrase"}
         )
     if with_words:
+        # A subject phrase is looked at once more for each slot, from its last piece.
+        no_slot, every_slot = F.array(F.lit(NO_SLOT)), F.sequence(F.lit(NO_SLOT), F.lit(SLOTS - 1))
+        is_subject = F.col("label").isin(list(rules.subject_labels))
+        is_subject = (rule == PHRASE) & is_subject & (F.col("piece") == F.col("pieces") - 1)
+        slots = F.when(is_subject, every_slot).otherwise(no_slot)
+        found = found.withColumn("phrase_slot", F.explode(slots))
         in_slot, copula = F.col("phrase_slot") >= 0, _word(_copula_place("phrase_slot"))
         predicate = F.coalesce(_predicate("phrase_slot"), F.lit(""))
         found = (
-            found.filter(F.coalesce(~in_slot, F.lit(True)) | copula.isin(copulas))
+            found.filter(~in_slot | copula.isin(copulas))
             .withColumn("check_word", F.when(in_slot, predicate).otherwise(F.col("check_word")))
             .withColumn("rule", F.when(in_slot, SUBJECT_PHRASE).otherwise(rule))
         )
         found = lookup_join(
             found, lexicon.adjectives, ["check_word"], "left",
-            spread_by=[*key, "pos", "n"], small=lexicon.small,
+            spread_by=[*key, "pos", "n"], small=lexicon.adjectives_fit,
         ).filter(F.col("check_word").isNull() | F.col("is_adjective"))
 
     is_phrase = rule == PHRASE
+    begin = F.col("pos") - F.when(rule == SUBJECT_PHRASE, F.col("piece") * PHRASE_WINDOW).otherwise(0)
     surface = F.array_join(F.slice("context", F.lit(1), n), " ")
     named = F.when(F.col("tier") == 0, F.col("canonical"))
     fact = (
@@ -305,11 +336,11 @@ def _events(
         .when(rule.isin(NEAR, NEXT_NEAR), feature_tag(F.col("lemma"), F.col("first_word")))
         .when(rule.isin(SUBJECT, SUBJECT_PHRASE), tag("CHARACTER", F.col("check_word")))
     )
-    return found.select(
+    rows = found.select(
         *key,
         *[F.when(rule == DOCUMENT, F.col(c)).alias(c) for c in carry],
         "rule",
-        F.col("pos").alias("start"),
+        begin.alias("start"),
         F.when(rule.isin(PHRASE, SUBJECT_PHRASE), F.col("pos") + n).alias("end"),
         "tier",
         "n",
@@ -317,58 +348,127 @@ def _events(
         "canonical",
         F.when(is_phrase, surface).alias("surface"),
         fact.alias("fact"),
+        "whole",
+        "piece",
+        "pieces",
     )
+    return rows, lexicon
 
 
-def overlap_runs(hits: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Number the runs of overlapping spans in each document, as column ``run``.
-
-    A run starts where a span begins at or after the end of all spans before it, so
-    spans of two runs never overlap. A span that overlaps no other, or a row without
-    an end, has run 0.
-    """
-    has_span, start, end = F.col("end").isNotNull(), F.col("start"), F.col("end")
-    ordered = Window.partitionBy(*key).orderBy(end.isNull(), "start", "end")
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    before = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    next_start = F.lead(F.when(has_span, start)).over(ordered)
-    starts_run = has_span & (F.col("_before").isNull() | (start >= F.col("_before")))
-    reaches_next = F.col("_next") < F.greatest("_before", end)
-    return (
-        hits.withColumns({"_before": before, "_next": next_start})
-        .withColumn("_starts", starts_run)
-        .withColumn("_run", F.count_if("_starts").over(so_far))
-        .withColumn(
-            "run",
-            F.when(has_span & (~F.col("_starts") | F.coalesce(reaches_next, F.lit(False))),
-                   F.col("_run")).otherwise(0),
-        )
-        .drop("_before", "_next", "_starts", "_run")
-    )
+_HIT = ["start", "n", "tier", "label", "canonical", "surface", "fact"]
 
 
-def accept_spans(spans: Column) -> Column:
-    """The spans that survive: by tier, the longest first, then the leftmost.
+def _per_document(
+    events: DataFrame, key: Sequence[str], keep: Sequence[str], out: str, columns: StructType,
+    resolve: bool = True,
+) -> DataFrame:
+    """One pass over the events of each document, in the task that holds them.
 
-    ``spans`` is an array of structs that sort in that order and have ``start`` and
-    ``end``; one run at a time, so the array is short.
+    Pieces that stand one behind the other make a hit of their whole phrase. With
+    ``resolve``, hits that overlap a better one go: by tier, the longest first, then the
+    leftmost; the work is in proportion to the words that hits cover. ``out`` is
+    ``facts`` (one row per document: its distinct facts) or ``hits`` (one row per hit).
     """
-    chosen = F.reduce(
-        F.sort_array(spans),
-        F.slice(spans, 1, 0),
-        lambda kept, s: F.when(
-            F.exists(kept, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"])), kept
-        ).otherwise(F.concat(kept, F.array(s))),
-    )
-    return F.when(F.size(spans) <= 1, spans).otherwise(chosen)
-
-
-_SPAN = ["start", "end", "label", "canonical", "surface", "fact"]
-
-
-def _span() -> Column:
-    """A phrase hit as a struct; sorts by precedence."""
-    return F.struct("tier", (-F.col("n")).alias("minus_n"), *_SPAN)
+    wanted = ["rule", "end", *_HIT, "whole", "piece", "pieces"]
+    dealt = events.select(*keep, *wanted).repartition(*key)
+    dealt = dealt.sortWithinPartitions(*key, F.col("rule") != DOCUMENT)
+    n_key, window = len(key), PHRASE_WINDOW
+    document, phrase_rule, subject = DOCUMENT, PHRASE, SUBJECT_PHRASE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def joined(pieces: list[tuple]) -> list[tuple]:
+            """Hits of whole phrases from their pieces."""
+            found: dict[tuple, dict[int, tuple]] = {}
+            for hit, whole, piece, count in pieces:
+                found.setdefault((whole, hit[0] - piece * window, hit[3], count), {})[piece] = hit
+            hits = []
+            for (_, start, label, count), parts in found.items():
+                if len(parts) == count:
+                    surface = " ".join(parts[i][5] for i in range(count))
+                    _, _, tier, _, canonical, _, _ = parts[0]
+                    name = canonical if tier == 0 and canonical is not None else surface
+                    length = sum(p[1] for p in parts.values())
+                    hits.append((start, length, tier, label, canonical, surface, f"{label}:{name}"))
+            return hits
+
+        def order(hit: tuple) -> tuple:
+            start, length, tier, label, canonical = hit[:5]
+            return tier, -length, start, label, canonical is not None, canonical or ""
+
+        def finished(doc: dict) -> tuple[list[tuple], list[str]]:
+            hits = sorted(doc["hits"] + joined(doc["pieces"]), key=order)
+            if not resolve:
+                return hits, []
+            taken: set[int] = set()
+            spans: set[tuple[int, int]] = set()
+            kept = []
+            for hit in hits:
+                covered = range(hit[0], hit[0] + hit[1])
+                if taken.isdisjoint(covered):
+                    taken.update(covered)
+                    spans.add((hit[0], hit[0] + hit[1]))
+                    kept.append(hit)
+            facts = doc["facts"] | {hit[6] for hit in kept}
+            facts |= {fact for start, end, fact in doc["waiting"] if (start, end) in spans}
+            return kept, sorted(f for f in facts if f is not None)
+
+        def rows(docs: list[dict]) -> Iterator[pa.RecordBatch]:
+            if not docs:
+                return
+            solved = [finished(doc) for doc in docs]
+            heads = pa.Table.from_batches([doc["head"] for doc in docs])
+            if out == "facts":
+                facts = pa.array([f for _, f in solved], pa.list_(pa.string()))
+                table = heads.append_column("extracted_facts", facts)
+            else:
+                number = [i for i, (hits, _) in enumerate(solved) for _ in hits]
+                table = heads.take(pa.array(number, pa.int64()))
+                hits = [hit for found, _ in solved for hit in found]
+                kinds = [pa.int32()] * 3 + [pa.string()] * 4
+                for k, (name, kind) in enumerate(zip(names, kinds, strict=True)):
+                    table = table.append_column(name, pa.array([hit[k] for hit in hits], kind))
+            yield from table.combine_chunks().to_batches(max_chunksize=10_000)
+
+        names = ["start", "n", "tier", "label", "canonical", "surface", "fact"]
+        current, done, size = None, [], 0
+        for batch in batches:
+            values = batch.to_pydict()
+            keys = list(zip(*[values[batch.schema.names[k]] for k in range(n_key)], strict=True))
+            listed = zip(*[values[c] for c in names], strict=True)
+            for i, (name, hit) in enumerate(zip(keys, listed, strict=True)):
+                if current is None or current["key"] != name:
+                    if current is not None:
+                        done.append(current)
+                        size += len(current["hits"]) + len(current["waiting"]) + 1
+                        if size > 20_000:
+                            yield from rows(done)
+                            done, size = [], 0
+                    head = batch.select(list(range(n_keep))).slice(i, 1)
+                    current = {"key": name, "head": head, "hits": [], "pieces": [], "waiting": [],
+                               "facts": set(), "documents": 0}
+                rule = values["rule"][i]
+                if rule == document:
+                    current["documents"] += 1
+                    if current["documents"] > 1:
+                        raise ValueError(f"the key {name} stands for more than one document")
+                elif rule == phrase_rule and values["pieces"][i] > 1:
+                    piece = values["whole"][i], values["piece"][i], values["pieces"][i]
+                    current["pieces"].append((hit, *piece))
+                elif rule == phrase_rule:
+                    current["hits"].append(hit)
+                elif rule == subject:
+                    current["waiting"].append((values["start"][i], values["end"][i], hit[6]))
+                else:
+                    current["facts"].add(hit[6])
+        if current is not None:
+            yield from rows([*done, current])
+
+    n_keep = len(keep)
+    return dealt.mapInArrow(run, columns)
+
+
+def _hit_columns(events: DataFrame, key: Sequence[str]) -> StructType:
+    return StructType([events.schema[c] for c in [*key, *_HIT]])
 
 
 def gazetteer_hits(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id",
@@ -376,30 +476,28 @@ def gazetteer_hits(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id",
     """Every place a dictionary phrase stands, overlaps included.
 
     Columns: the key, start (word number from 1), n (words), label, canonical, surface.
+    ``key`` must tell documents apart. Without long phrases nothing is shuffled.
     """
     rules = Rules(dictionary)
-    phrases = phrase_table(dictionary)
-    events = _events(docs, [key], text, [], rules, phrases)
-    return events.filter(F.col("rule") == PHRASE).select(
-        key, "start", "n", "label", "canonical", "surface"
-    )
+    events, lexicon = _events(docs, [key], text, [], rules, phrase_table(dictionary))
+    hits = events.filter(F.col("rule") == PHRASE)
+    if lexicon.pieces:
+        hits = _per_document(hits, [key], [key], "hits", _hit_columns(hits, [key]), resolve=False)
+    return hits.select(key, "start", "n", "label", "canonical", "surface")
 
 
 def gazetteer_match(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id",
                     text: str = "text", place_labels: Sequence[str] = ("ORIGIN",)) -> DataFrame:
-    """The dictionary matches that remain when overlaps are resolved, with their facts."""
+    """The dictionary matches that remain when overlaps are resolved, with their facts.
+
+    ``key`` must tell documents apart.
+    """
     rules = Rules(dictionary, place_labels=place_labels)
     phrases = preferred_phrases(phrase_table(dictionary, place_labels))
-    hits = _events(docs, [key], text, [], rules, phrases).filter(F.col("rule") == PHRASE)
-    kept = F.when(F.col("run") == 0, F.col("spans")).otherwise(accept_spans(F.col("spans")))
-    return (
-        overlap_runs(hits, [key])
-        .groupBy(key, "run")
-        .agg(F.collect_list(_span()).alias("spans"))
-        .select(key, F.explode_outer(kept).alias("s"))
-        .select(key, (-F.col("s.minus_n")).alias("n"), *[F.col(f"s.{c}") for c in _SPAN])
-        .drop("end")
-    )
+    events, _ = _events(docs, [key], text, [], rules, phrases)
+    hits = events.filter(F.col("rule") == PHRASE)
+    found = _per_document(hits, [key], [key], "hits", _hit_columns(hits, [key]))
+    return found.select(key, "n", "start", "label", "canonical", "surface", "fact")
 
 
 def word_facts(docs: DataFrame, rules: Rules, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -407,7 +505,7 @@ def word_facts(docs: DataFrame, rules: Rules, key: str = "doc_id", text: str = "
 
     Subjects found by phrase need the resolved matches and come from ``extract_facts``.
     """
-    events = _events(docs, [key], text, [], replace(rules, dictionary=None), None)
+    events, _ = _events(docs, [key], text, [], replace(rules, dictionary=None), None)
     return events.filter(F.col("rule") != DOCUMENT).select(key, "rule", "start", "fact")
 
 
@@ -415,58 +513,41 @@ def document_facts(docs: DataFrame, rules: Rules, key: Sequence[str], text: str,
                    carry: Sequence[str] = ()) -> DataFrame:
     """One row per document: the key, ``carry`` and the sorted distinct facts.
 
-    ``key`` must tell documents apart. A document without facts has an empty array.
+    ``key`` must tell documents apart; a key that repeats ends the job with an error. A
+    document without facts has an empty array.
     """
     phrases = None
     if rules.dictionary is not None:
         phrases = preferred_phrases(phrase_table(rules.dictionary, rules.place_labels))
-    events = _events(docs, key, text, carry, rules, phrases)
-    rule, alone = F.col("rule"), F.col("run") == 0
-    runs = (
-        overlap_runs(events, key)
-        .groupBy(*key, "run")
-        .agg(
-            *[F.max(c).alias(c) for c in carry],
-            F.collect_set(F.when(alone, F.col("fact"))).alias("facts"),
-            F.collect_list(F.when(~alone & (rule == PHRASE), _span())).alias("spans"),
-            F.collect_set(
-                F.when(rule == SUBJECT_PHRASE, F.struct("start", "end", "fact"))
-            ).alias("waiting"),
-        )
-        .withColumn("kept", accept_spans(F.col("spans")))
-    )
-    confirmed = F.filter(
-        "waiting",
-        lambda s: F.exists(
-            "kept", lambda k: (k["start"] == s["start"]) & (k["end"] == s["end"])
-        ),
-    )
-    contested = F.concat(F.col("kept.fact"), F.transform(confirmed, lambda s: s["fact"]))
-    return (
-        runs.select(
-            *key, *carry, F.when(alone, F.col("facts")).otherwise(contested).alias("facts")
-        )
-        .groupBy(*key)
-        .agg(
-            *[F.max(c).alias(c) for c in carry],
-            sorted_set(F.flatten(F.collect_list("facts"))).alias("extracted_facts"),
-        )
-    )
+    events, _ = _events(docs, key, text, carry, rules, phrases)
+    kept = [*key, *carry]
+    facts = StructField("extracted_facts", ArrayType(StringType()))
+    columns = StructType([*[events.schema[c] for c in kept], facts])
+    return _per_document(events, key, kept, "facts", columns)
+
+
+RECORD = "_record"
 
 
 def extract_facts(
     docs: DataFrame,
     rules: Rules,
-    key: Sequence[str] = ("source_file",),
+    key: Sequence[str] | None = None,
     text: str = "text",
     extra_extractors: Sequence[Callable[[DataFrame], DataFrame]] = (),
 ) -> DataFrame:
     """Documents to ``title, source_file, extracted_facts``; markup is removed first.
 
-    ``key`` must tell documents apart. An extra extractor maps the documents (the
-    key and text without markup) to rows of the key and ``fact``, for instance a
-    ``mapInPandas`` over a model; its facts join the others.
+    One row per input record. ``key`` names columns that tell records apart; if it
+    repeats, the job ends with an error. Without a key the records are stored once
+    under numbers of their own, so that a task that runs again meets the same ones: a
+    file may hold many records. An extra extractor maps the documents (the key and text
+    without markup) to rows of the key and ``fact``, for instance a ``mapInPandas`` over
+    a model; its facts join the others.
     """
+    if key is None:
+        docs = cut_lineage(docs.withColumn(RECORD, F.monotonically_increasing_id()))
+        key = [RECORD]
     key = list(key)
     carry = [c for c in ("title", "source_file") if c not in key]
     plain = docs.withColumn(text, html_to_text(guarded_text(F.col(text))))

@@ -15,8 +15,8 @@ def size_in_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    return size_in_bytes(df) <= max_bytes
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    return size_in_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
 def lookup_join(

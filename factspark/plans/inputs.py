@@ -14,7 +14,6 @@ from factspark.functions.strings import WHITESPACE
 from factspark.operators.dictionary import patterns
 from factspark.operators.extraction import Rules
 from factspark.session import literal_table
-from factspark.sources.readers import use_all_cores
 
 # Phrases that occur in the documents, which are made of invented syllables.
 ENTITY_PHRASES = [
@@ -74,7 +73,7 @@ def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return use_all_cores(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.concat(F.lit("doc-"), "doc_id").alias("title"),
         "text",
@@ -248,6 +247,32 @@ def structured_queries(spark: SparkSession) -> DataFrame:
     return literal_table(spark, STRUCTURED, f"query_id int, {words}")
 
 
+#: query_id, plain words, all_of, any_of, none_of, prefix
+MIXED = [
+    (1, "size maine", [], [], [], []),
+    (2, "coon", ["size"], ["zzz-coon", "maine-coon"], [], ["sr"]),
+    (3, "", [], [], ["maine-size"], ["s"]),
+    (4, "Maine-Coon", [], ["src1", "src2"], ["af"], []),
+    (5, " ", [], [], ["af", "nf"], []),
+    (6, "--", [], [], [], []),
+]
+
+
+def mixed_queries(spark: SparkSession) -> DataFrame:
+    words = ", ".join(f"{kind} array<string>" for kind in ("all_of", "any_of", "none_of", "prefix"))
+    return literal_table(spark, MIXED, f"query_id int, query string, {words}")
+
+
+def _mixed_sql() -> str:
+    """The mixed queries with plain words split, as the check sees them."""
+    rows = []
+    for number, plain, all_of, *others in MIXED:
+        split = [w for w in plain.lower().replace("-", " ").split() if w]
+        if split or all_of or any(others):
+            rows.append((number, [*split, *all_of], *others))
+    return _values(rows)
+
+
 def _literal(value) -> str:
     if isinstance(value, list):
         return "CAST([" + ", ".join(map(_literal, value)) + "] AS VARCHAR[])"
@@ -315,15 +340,16 @@ SQL: dict[str, tuple[list[str], str]] = {
     "by_source": (["cand", "weights"], """
         SELECT breed, fact_type, fact_value, source, weight, count(*) AS mentions_count
         FROM cand JOIN weights USING (source) GROUP BY ALL"""),
-    "scored": (["by_source"], """
-        SELECT breed, fact_type, fact_value, CAST(sum(mentions_count) AS BIGINT) AS mentions_count,
+    # Straight over the candidates, not by way of the counts per source.
+    "scored": (["cand", "weights"], """
+        SELECT breed, fact_type, fact_value, count(*) AS mentions_count,
                count(DISTINCT source) AS sources_count,
                string_agg(DISTINCT source, '; ' ORDER BY source) AS source_list,
                max(weight) AS max_weight,
                0.4 * max(weight)
                + 0.4 * count(DISTINCT source)::DOUBLE / (SELECT count(*) FROM weights)
-               + 0.2 * (1 - 1.0 / (sqrt(sum(mentions_count)) + 1)) AS final_score
-        FROM by_source GROUP BY breed, fact_type, fact_value"""),
+               + 0.2 * (1 - 1.0 / (sqrt(count(*)) + 1)) AS final_score
+        FROM cand JOIN weights USING (source) GROUP BY breed, fact_type, fact_value"""),
     "ranked": (["scored"], """
         SELECT *, row_number() OVER (PARTITION BY breed, fact_type
                                      ORDER BY final_score DESC, fact_value) AS rn
@@ -442,6 +468,8 @@ SQL: dict[str, tuple[list[str], str]] = {
         GROUP BY ALL"""),
     "squeries": ([], f"""
         SELECT * FROM ({_values(STRUCTURED)}) AS v(query_id, all_of, any_of, none_of, prefixes)"""),
+    "mqueries": ([], f"""
+        SELECT * FROM ({_mixed_sql()}) AS v(query_id, all_of, any_of, none_of, prefixes)"""),
     "fact_words": (["postings"], """
         SELECT breed, fact_type, fact_value, list(lexeme) AS lexemes FROM postings GROUP BY ALL"""),
 }

@@ -25,7 +25,7 @@ from factspark.operators.literature import article_list, popularity
 from factspark.plans import inputs as I
 from factspark.plans.inputs import STRIP, oracle
 from factspark.plans.registry import query
-from factspark.sources.readers import flatten_breeds, use_all_cores
+from factspark.sources.readers import flatten_breeds
 from factspark.sources.writers import text_payloads
 
 KEYS = ", ".join(FACT)
@@ -93,7 +93,8 @@ def agg_source_count(spark, sf_dir):
 
 
 @query(oracle("lines", """
-    SELECT CAST((rn - 1) // 500 AS BIGINT) AS record_no, string_agg(line, chr(10) ORDER BY rn) AS payload
+    SELECT CAST((rn - 1) // 500 AS BIGINT) AS record_no, count(*) AS n_lines,
+           string_agg(line, chr(10) ORDER BY rn) AS payload
     FROM (SELECT line, row_number() OVER (ORDER BY line) AS rn FROM lines) GROUP BY ALL"""))
 def agg_lines_to_payload(spark, sf_dir):
     return text_payloads(name_lines(I.breeds(spark, sf_dir)), per_record=500)
@@ -196,7 +197,7 @@ _CANDIDATES = """
 
 def extracted(spark, sf_dir):
     docs = I.doc_raw(spark, sf_dir)
-    return extract_facts(docs, I.rules(spark), ["source_file"])
+    return extract_facts(docs, I.rules(spark), ["doc_id"])
 
 
 @query(oracle("doc_facts", _CANDIDATES + " SELECT * FROM candidate"))
@@ -234,8 +235,7 @@ def op_fuse_facts(spark, sf_dir):
     SELECT breed, fact_type, fact_value, source, min(hdfs_path) AS hdfs_path
     FROM norm GROUP BY ALL"""))
 def op_normalize_candidates(spark, sf_dir):
-    candidates = use_all_cores(I.candidates(spark, sf_dir), "hdfs_path")
-    return normalize_candidates(candidates, ["hdfs_path"])
+    return normalize_candidates(I.candidates(spark, sf_dir), ["hdfs_path"])
 
 
 @query(oracle("structured", f"""

@@ -177,14 +177,19 @@ def sink_json_overwrite(spark, sf_dir):
     )
 
 
-@query(oracle("lines", "SELECT 'parts' AS source, 'txt' AS content_type, line FROM lines"))
+@query(oracle("lines", """
+    SELECT 'parts' AS source, 'txt' AS content_type, CAST((rn - 1) // 500 AS BIGINT) AS record_no,
+           CAST((rn - 1) % 500 AS BIGINT) AS place, line
+    FROM (SELECT line, row_number() OVER (ORDER BY line) AS rn FROM lines)"""))
 def sink_text_envelope(spark, sf_dir):
     path = fresh_path(spark, "names")
     write_text_envelopes(name_lines(I.breeds(spark, sf_dir)), path, "parts", per_record=500)
     back = read_json(spark, path, NAMES_RAW)
-    return payload_lines(back).select(
-        F.lit("parts").alias("source"), F.lit("txt").alias("content_type"), "line"
-    )
+    lines = back.select("source", "content_type", "record_no", F.posexplode(F.split("payload", "\n")))
+    return lines.select(
+        "source", "content_type", "record_no", F.col("pos").cast("bigint").alias("place"),
+        F.col("col").alias("line"),
+    )
 
 
 _API_CANDIDATES = oracle("structured", """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from factspark.functions.markup import html_to_text
@@ -18,22 +19,25 @@ from factspark.operators.extraction import (
     token_rows,
     word_facts,
 )
-from factspark.operators.fusion import FACT, fuse_facts
+from factspark.operators.facts import candidate_facts, structured_facts
+from factspark.operators.fusion import FACT, default_weights, fuse_facts
 from factspark.operators.literature import article_requests
 from factspark.operators.search import (
-    match_all,
-    match_structured,
+    match,
     matching_postings,
     postings,
     query_terms,
+    read_postings,
     search,
+    write_postings,
 )
 from factspark.plans import inputs as I
 from factspark.plans.inputs import STRIP, oracle, table
 from factspark.plans.q_facts import extracted
 from factspark.plans.registry import query
-from factspark.session import cut_lineage
-from factspark.sources.readers import use_all_cores
+from factspark.session import cut_lineage, fresh_path
+from factspark.sources.readers import read_json, title_or_url, unify_text
+from factspark.sources.writers import overwrite_json
 
 KEYS = ", ".join(FACT)
 
@@ -66,7 +70,7 @@ for _entity, _char in _ENTITIES:
     SELECT page_id, {STRIP(f"regexp_replace({_TEXT}, '[ \\t\\r\\n\\x{{a0}}]+', ' ', 'g')")} AS text
     FROM pages""")
 def txt_html_to_text(spark, sf_dir):
-    return use_all_cores(table(spark, sf_dir, "pages"), "page_id").select(
+    return table(spark, sf_dir, "pages").select(
         "page_id", html_to_text(F.col("html")).alias("text")
     )
 
@@ -170,6 +174,23 @@ def op_extract_facts(spark, sf_dir):
     )
 
 
+@query(oracle("doc_raw doc_facts", """
+    SELECT d.title, coalesce(string_agg(f.fact, '|' ORDER BY f.fact), '') AS facts, count(f.fact) AS n_facts
+    FROM doc_raw d LEFT JOIN doc_facts f ON f.doc_id = d.doc_id GROUP BY d.doc_id, d.title"""))
+def op_extract_shared_files(spark, sf_dir):
+    """Files that hold many records each: one output row per record all the same."""
+    path = fresh_path(spark, "records")
+    rows = I.doc_raw(spark, sf_dir).select("title", F.col("text").alias("content"))
+    rows.coalesce(3).write.json(path)
+    records = read_json(spark, path, "title string, content string", provenance="source_file")
+    facts = extract_facts(records, I.rules(spark), text="content")
+    return facts.select(
+        "title",
+        F.array_join("extracted_facts", "|").alias("facts"),
+        F.size("extracted_facts").cast("bigint").alias("n_facts"),
+    )
+
+
 @query(oracle("doc_raw match_facts", """
     , f AS (SELECT doc_id, fact FROM match_facts UNION SELECT doc_id, 'LANG:' || lang FROM doc_raw)
     SELECT d.source_file, string_agg(f.fact, '|' ORDER BY f.fact) AS facts
@@ -179,14 +200,69 @@ def udf_extract(spark, sf_dir):
     docs = I.doc_raw(spark, sf_dir)
 
     def language(rows):
-        found = docs.select("source_file", F.concat(F.lit("LANG:"), "lang").alias("fact"))
-        return rows.select("source_file").join(found, "source_file")
+        found = docs.select("doc_id", F.concat(F.lit("LANG:"), "lang").alias("fact"))
+        return rows.select("doc_id").join(found, "doc_id")
 
     words_off = replace(I.rules(spark), adjectives=None)
-    facts = extract_facts(docs, words_off, ["source_file"], extra_extractors=[language])
+    facts = extract_facts(docs, words_off, ["doc_id"], extra_extractors=[language])
     return facts.select("source_file", F.array_join("extracted_facts", "|").alias("facts"))
 
 
+_CORPUS = f"""corpus AS (
+        SELECT doc_id, text, 'wikipedia' AS source, 'doc-' || doc_id AS title FROM documents
+        UNION ALL SELECT -1 - page_id, {_TEXT}, 'petmd', url FROM pages)"""
+_WEIGHTS = "weights AS (SELECT * FROM (VALUES ('wikipedia', 0.6), ('petmd', 0.8), ('pubmed', 0.7), ('cat-api', 0.99)) AS v(source, weight))"
+
+
+@query(oracle("doc_facts structured", """
+    , named AS (SELECT doc_id, min(substr(fact, 7)) AS breed FROM doc_facts
+                WHERE fact LIKE 'BREED:%' GROUP BY doc_id),
+    api AS (SELECT part_no, name AS breed FROM structured WHERE fact LIKE 'BREED:%' GROUP BY ALL),
+    candidate AS (
+        SELECT DISTINCT breed,
+               CASE WHEN strpos(fact, '=') > 0
+                    THEN 'feature_' || split_part(split_part(fact, '=', 1), ':', 2)
+                    ELSE lower(split_part(fact, ':', 1)) END AS fact_type,
+               CASE WHEN strpos(fact, '=') > 0 THEN split_part(fact, '=', 2)
+                    ELSE split_part(fact, ':', 2) END AS fact_value, d.source, d.title
+        FROM doc_facts JOIN named USING (doc_id) JOIN documents d USING (doc_id)
+        WHERE fact NOT LIKE 'BREED:%'
+        UNION
+        SELECT breed, lower(split_part(fact, ':', 1)), trim(substr(fact, strpos(fact, ':') + 1)),
+               'cat-api', ''
+        FROM structured JOIN api USING (part_no)
+        WHERE fact NOT LIKE 'BREED:%' AND trim(substr(fact, strpos(fact, ':') + 1)) <> ''),
+    f AS (SELECT breed, fact_type, fact_value, count(*) AS mentions_count,
+                 count(DISTINCT source) AS sources_count,
+                 string_agg(DISTINCT source, '; ' ORDER BY source) AS source_list,
+                 0.4 * max(weight) + 0.4 * count(DISTINCT source)::DOUBLE / 4
+                 + 0.2 * (1 - 1.0 / (sqrt(count(*)) + 1)) AS final_score
+          FROM candidate JOIN weights USING (source) GROUP BY breed, fact_type, fact_value)
+    SELECT breed, fact_type, fact_value, mentions_count, sources_count, source_list,
+           round(final_score, 9) AS final_score FROM f
+    QUALIFY row_number() OVER (PARTITION BY breed, fact_type
+                               ORDER BY final_score DESC, fact_value) <= 10""")
+    .replace("FROM documents", "FROM corpus").replace("JOIN documents d", "JOIN corpus d")
+    .replace("WITH ", f"WITH {_CORPUS}, {_WEIGHTS}, ", 1))
+def op_pipeline(spark, sf_dir):
+    """The whole job: two record shapes in shared files, and the record feed, to final facts."""
+    raw = fresh_path(spark, "corpus") + "/raw"
+    doc, page = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    articles = doc.select(F.concat(F.lit("doc-"), "doc_id").alias("title"), F.col("text").alias("content"))
+    overwrite_json(articles, f"{raw}/wikipedia")
+    overwrite_json(page.select("url", F.col("html").alias("payload")), f"{raw}/petmd")
+    columns = "title string, content string, url string, payload string"
+    records = read_json(spark, [f"{raw}/wikipedia", f"{raw}/petmd"], columns, provenance="source_file")
+    docs = title_or_url(unify_text(records), row_level=True)
+    # A file holds many records; each is known by its folder and its title.
+    folder = F.regexp_extract("source_file", "^(.*/)", 1)
+    docs = docs.withColumn("source_file", F.concat(folder, "title"))
+    facts = extract_facts(docs, I.rules(spark))
+    feed = structured_facts(I.breeds(spark, sf_dir), "/raw/cat-api/breeds.json")
+    fused = fuse_facts(candidate_facts(facts.unionByName(feed)), default_weights(spark))
+    return fused.withColumn("final_score", F.round("final_score", 9))
+
+
 # Stored crawl records
 
 
@@ -338,7 +414,8 @@ def join_search_terms(spark, sf_dir):
 
 @query(oracle("matches", f"SELECT query_id, {KEYS} FROM matches"))
 def fts_match(spark, sf_dir):
-    return match_all(postings(_facts(spark, sf_dir)), I.search_queries(spark)).drop("rank")
+    facts = _facts(spark, sf_dir)
+    return match(facts, postings(facts), I.search_queries(spark)).drop("rank")
 
 
 @query(oracle("fact_words squeries", f"""
@@ -349,12 +426,13 @@ def fts_match(spark, sf_dir):
             lambda w: starts_with(w, p))) = 0)) = 0"""))
 def fts_match_operators(spark, sf_dir):
     facts = _facts(spark, sf_dir)
-    return match_structured(facts, postings(facts), I.structured_queries(spark))
+    return match(facts, postings(facts), I.structured_queries(spark)).drop("rank")
 
 
 @query(oracle("ranks", f"SELECT query_id, {KEYS}, round(rank, 9) AS rank FROM ranks"))
 def fts_rank(spark, sf_dir):
-    found = match_all(postings(_facts(spark, sf_dir)), I.search_queries(spark))
+    facts = _facts(spark, sf_dir)
+    found = match(facts, postings(facts), I.search_queries(spark))
     return found.withColumn("rank", F.round("rank", 9))
 
 
@@ -368,14 +446,39 @@ def _rounded(found):
     return found.withColumns({c: F.round(c, 9) for c in ("final_score", "rank")})
 
 
+def _stored_postings(spark, facts):
+    path = fresh_path(spark, "postings")
+    write_postings(postings(facts), path)
+    return read_postings(spark, path)
+
+
 @query(_SEARCH)
 def op_search(spark, sf_dir):
     facts = _facts(spark, sf_dir)
-    return _rounded(search(facts, postings(facts), I.search_queries(spark)))
+    return _rounded(search(facts, _stored_postings(spark, facts), I.search_queries(spark)))
 
 
-@query(_SEARCH + " ORDER BY query_id, fused.final_score DESC, ranks.rank DESC, breed, fact_type, "
-       "fact_value LIMIT 25")
+@query(_SEARCH + " QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY fused.final_score DESC, "
+       "ranks.rank DESC, breed, fact_type, fact_value) <= 25")
 def srt_search_order(spark, sf_dir):
     facts = _facts(spark, sf_dir)
     return _rounded(search(facts, postings(facts), I.search_queries(spark), limit=25))
+
+
+@query(oracle("fact_words mqueries fused", f"""
+    SELECT query_id, {KEYS}, round(final_score, 9) AS final_score
+    FROM fact_words JOIN fused USING (breed, fact_type, fact_value), mqueries
+    WHERE list_has_all(lexemes, all_of) AND (len(any_of) = 0 OR len(list_filter(any_of,
+            lambda x: list_has_all(lexemes, string_split(x, '-')))) > 0)
+    AND len(list_filter(none_of, lambda x: list_has_all(lexemes, string_split(x, '-')))) = 0
+    AND len(list_filter(prefixes, lambda p: len(list_filter(lexemes,
+            lambda w: starts_with(w, p))) = 0)) = 0
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY fused.final_score DESC, {KEYS}) <= 40"""))
+def op_search_operators(spark, sf_dir):
+    """Plain words, operators, prefixes and hyphenated words in one entry, over stored postings."""
+    facts = _facts(spark, sf_dir)
+    found = search(facts, _stored_postings(spark, facts), I.mixed_queries(spark))
+    # The rank among equal scores has its own query; here ties go by the fact.
+    order = Window.partitionBy("query_id").orderBy(F.desc("final_score"), *FACT)
+    first = found.withColumn("n", F.row_number().over(order)).filter("n <= 40")
+    return first.select("query_id", *FACT, F.round("final_score", 9).alias("final_score"))

@@ -33,7 +33,10 @@ ARTICLE_RAW = StructType(
     _strings("title", "content", "timestamp", "url", "fetched_at", "content_type", "payload")
 )
 
-NAMES_RAW = StructType(_strings("source", "generated_at", "content_type", "payload"))
+NAMES_RAW = StructType(
+    _strings("source", "generated_at", "content_type", "payload")
+    + [StructField("record_no", LongType()), StructField("n_lines", LongType())]
+)
 
 EXTRACTED = StructType(
     _strings("title", "source_file")

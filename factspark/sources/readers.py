@@ -47,16 +47,6 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 
 
-def use_all_cores(df: DataFrame, *by: str) -> DataFrame:
-    """Spread documents by hash where the input has fewer files than the cluster cores.
-
-    Text work is done in the scan's tasks, and one file of one row group is one task.
-    An input of many files is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if len(df.inputFiles()) < cores else df
-
-
 def with_provenance(df: DataFrame, column: str = "source_file") -> DataFrame:
     """Add the path of the file a row was read from (a blank in it reads ``%20``)."""
     return df.select("*", F.col("_metadata.file_path").alias(column))

@@ -12,8 +12,6 @@ from factspark.operators.quality import assert_valid
 from factspark.schemas import TABLES
 from factspark.session import cut_lineage
 
-LINES_PER_RECORD = 100_000
-
 
 def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -42,10 +40,11 @@ def preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> DataFrame:
 
 
 def replace_folder(df: DataFrame, path: str) -> None:
-    """Replace a Parquet folder so that readers see the old rows or the new ones.
+    """Replace a Parquet folder; its readers never see a mixture of old and new rows.
 
     Rows are written next to the target and moved in place by renaming; a task that
-    is retried leaves nothing behind.
+    is retried leaves nothing behind. Between the two renames a reader can find no
+    folder. If the second one fails, the old folder goes back to its place.
     """
     spark = df.sparkSession
     mark = uuid.uuid4().hex
@@ -54,11 +53,24 @@ def replace_folder(df: DataFrame, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs
     target = hadoop.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.rename(target, hadoop.Path(old))
-    if not fs.rename(hadoop.Path(staged), target):
-        raise OSError(f"cannot move {staged} to {path}")
-    fs.delete(hadoop.Path(old), True)
+    _swap(fs, target, hadoop.Path(staged), hadoop.Path(old))
+
+
+def _swap(fs, target, staged, old) -> None:
+    """Move ``staged`` to ``target`` and remove what was there, or leave it as it was."""
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, old):
+        raise OSError(f"cannot move {target} to {old}")
+    moved = False
+    try:
+        moved = fs.rename(staged, target)
+    finally:
+        if not moved and replaced and not fs.rename(old, target):
+            raise OSError(f"the old rows of {target} are left in {old}")
+    if not moved:
+        raise OSError(f"cannot move {staged} to {target}")
+    if replaced:
+        fs.delete(old, True)
 
 
 def replace_jdbc_table(df: DataFrame, url: str, table: str, batch_size: int = 10_000,
@@ -123,11 +135,11 @@ def dense_ids(df: DataFrame, order_by: Sequence[str | Column], column: str = "id
     )
 
 
-def text_payloads(lines: DataFrame, per_record: int = LINES_PER_RECORD) -> DataFrame:
-    """Lines in order, joined by line breaks into records of up to ``per_record`` lines.
+def text_payloads(lines: DataFrame, per_record: int) -> DataFrame:
+    """Lines in order, joined by line breaks into records of ``per_record`` lines.
 
-    A table that fits gives one record. Larger ones give several, which readers that
-    split payloads into lines take alike; no task ever holds all lines.
+    ``record_no, n_lines, payload``: the numbers, from 0, put the records in order, and
+    only the last one may have fewer lines. No task ever holds all lines.
     """
     numbered = dense_ids(lines.select("line"), ["line"], "_id")
     record = F.floor((F.col("_id") - 1) / per_record).cast("bigint")
@@ -135,23 +147,27 @@ def text_payloads(lines: DataFrame, per_record: int = LINES_PER_RECORD) -> DataF
         numbered.withColumn("record_no", record)
         .groupBy("record_no")
         .agg(F.array_sort(F.collect_list(F.struct("_id", "line"))).alias("_lines"))
-        .select("record_no", F.array_join(F.col("_lines.line"), "\n").alias("payload"))
+        .select(
+            "record_no",
+            F.size("_lines").cast("bigint").alias("n_lines"),
+            F.array_join(F.col("_lines.line"), "\n").alias("payload"),
+        )
     )
 
 
-def text_envelopes(lines: DataFrame, source: str, per_record: int = LINES_PER_RECORD) -> DataFrame:
-    """Records of joined lines with their source and the time of the run."""
+def text_envelopes(lines: DataFrame, source: str, per_record: int) -> DataFrame:
+    """Records of joined lines with their place, their source and the time of the run."""
     return text_payloads(lines, per_record).select(
         F.lit(source).alias("source"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("generated_at"),
         F.lit("txt").alias("content_type"),
+        "record_no",
+        "n_lines",
         "payload",
     )
 
 
-def write_text_envelopes(lines: DataFrame, path: str, source: str,
-                         per_record: int = LINES_PER_RECORD) -> None:
-    record = F.to_json(F.struct("source", "generated_at", "content_type", "payload"))
-    text_envelopes(lines, source, per_record).select(record.alias("value")).write.mode(
-        "overwrite"
-    ).text(path)
+def write_text_envelopes(lines: DataFrame, path: str, source: str, per_record: int) -> None:
+    records = text_envelopes(lines, source, per_record)
+    record = F.to_json(F.struct(*records.columns))
+    records.select(record.alias("value")).write.mode("overwrite").text(path)

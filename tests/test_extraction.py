@@ -1,6 +1,7 @@
 """Text rules against direct Python statements of them."""
 
 import re
+import time
 from dataclasses import replace
 
 import pytest
@@ -8,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from factspark.operators import extraction as X
+from factspark.operators import joins
 from factspark.operators.dictionary import patterns
 from factspark.operators.search import POSITION_WEIGHT
 
@@ -94,7 +96,7 @@ def test_document_facts(spark, docs):
 
 def test_lookups_too_large_to_broadcast(spark, monkeypatch):
     docs = ["a b c d e".split(), "x is a d b c d e".split(), [], "A a a a b".split()] * 3
-    monkeypatch.setattr(X, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
     found = X.document_facts(corpus(spark, docs), rules(spark), ["doc_id"], "text")
     assert "_salt" in found._jdf.queryExecution().toString()
     assert {r.doc_id: r.extracted_facts for r in found.collect()} == {
@@ -136,7 +138,7 @@ def test_extra_extractor(spark):
         return rows.mapInPandas(batches, "source_file string, fact string")
 
     plain = replace(rules(spark), adjectives=None)
-    found = X.extract_facts(docs, plain, extra_extractors=[shout])
+    found = X.extract_facts(docs, plain, ["source_file"], extra_extractors=[shout])
     assert {r.source_file: r.extracted_facts for r in found.collect()} == {
         "f1": ["BREED:Abc", "LEN:5"], "f2": ["LEN:2"]
     }
@@ -156,3 +158,61 @@ def test_rules_need_something(spark):
     empty = patterns(spark, [("L", None, "--")])
     found = X.document_facts(corpus(spark, [["a"]]), X.Rules(empty), ["doc_id"], "text")
     assert found.first().extracted_facts == []
+
+
+def test_records_of_one_file_stay_apart(spark):
+    rows = [("f", "T1", "a b c"), ("f", "T2", "c d"), ("f", "T2", "c d"), ("f", None, None)]
+    docs = spark.createDataFrame(rows, "source_file string, title string, text string")
+    plain = replace(rules(spark), adjectives=None)
+    found = X.extract_facts(docs, plain).collect()
+    assert sorted((r.title or "", r.source_file, r.extracted_facts) for r in found) == [
+        ("", "f", []), ("T1", "f", ["BREED:Abc"]), ("T2", "f", ["BREED:Cd"]), ("T2", "f", ["BREED:Cd"])
+    ]
+    with pytest.raises(Exception, match="more than one document"):
+        X.extract_facts(docs, plain, ["source_file"]).collect()
+
+
+LONG = " ".join(f"a{i} x" for i in range(12))
+
+
+@pytest.mark.parametrize("window", [2, 8])
+def test_long_phrases_are_found_in_pieces(spark, monkeypatch, window):
+    monkeypatch.setattr(X, "PHRASE_WINDOW", window)
+    phrases = [("BREED", "Long", LONG), ("BREED", None, LONG + " tail"), ("SYMPTOM", "X", "x"), ("BREED", "Aa", "b b b")]
+    texts = [f"x {LONG} is a", f"{LONG} TAIL", LONG[:-2], f"{LONG} {LONG}", "b b b b b b b is d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    adjectives = spark.createDataFrame([("a",), ("d",)], "token string")
+    found = X.document_facts(docs, X.Rules(patterns(spark, phrases), adjectives), ["doc_id"], "text")
+    facts = {r.doc_id: r.extracted_facts for r in found.collect()}
+    assert facts[0] == ["BREED:Long", "CHARACTER:a", "SYMPTOM:X"]
+    assert facts[1] == [f"BREED:{LONG} TAIL"]
+    assert facts[2] == ["SYMPTOM:X"] and facts[3] == ["BREED:Long"]
+    assert facts[4] == ["BREED:Aa", "CHARACTER:d"]
+    hits = X.gazetteer_hits(docs, patterns(spark, phrases)).filter("n > 3").collect()
+    assert sorted((r.doc_id, r.start, r.n, r.canonical) for r in hits) == [
+        (0, 2, 24, "Long"), (1, 1, 24, "Long"), (1, 1, 25, None), (3, 1, 24, "Long"), (3, 25, 24, "Long")
+    ]
+
+
+def test_very_long_runs_cost_in_proportion(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(0, "a " * n)], "doc_id int, text string")
+        start = time.perf_counter()
+        found = X.gazetteer_match(docs, patterns(spark, [("SYMPTOM", "Aa", "a a")])).count()
+        assert found == n // 2
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(48_000) <= 2.5 * seconds(24_000) + 2
+
+
+def test_a_large_dictionary_keeps_the_first_words_broadcast(spark, monkeypatch):
+    names = spark.range(200_000).selectExpr(
+        "'BREED' AS label", "concat('N', id) AS canonical", "concat('breed', id % 2000, ' kind', id) AS alias"
+    )
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 4 << 20)
+    docs = spark.createDataFrame([(0, "Breed17 kind4017 and breed3 kind9")], "doc_id int, text string")
+    found = X.gazetteer_match(docs, names)
+    text = found._jdf.queryExecution().toString()
+    assert "_salt" in text and "Join Inner, (first_word" in text and "rightHint=(strategy=broadcast)" in text
+    assert [(r.start, r.canonical) for r in found.collect()] == [(1, "N4017")]

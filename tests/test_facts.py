@@ -135,7 +135,6 @@ def test_salted_join_gives_the_same(spark, monkeypatch):
     weights = fusion.default_weights(spark)
     expected = sorted(map(tuple, fuse(spark, rows, weights).collect()))
     monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-    monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (-1,))
     salted = fuse(spark, rows, weights)
     assert sorted(map(tuple, salted.collect())) == expected
 

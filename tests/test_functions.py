@@ -1,6 +1,7 @@
 """Column functions against Python and hand-made tables."""
 
 import html
+from urllib.parse import urljoin
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -102,6 +103,32 @@ def test_entities_match_pythons_table(column):
     assert column(names, M.decode_entities) == [html.unescape(n) for n in names]
 
 
+REFERENCES = ["&amp;", "&#0038;lt;", "&AMP;", "&check;", "&lbrace;", "&#00000065;", "&#X41;", "&#128;", "&#0;", "&#13;",
+              "&#xD800;", "&#99999999999;", "&#x81;", "&#1;", "&#xFDD0;", "&#x1FFFE;", "&nosuch;", "&", ";", "lt;", "#38;",
+              "&#;", "&NotEqualTilde;", " ", "x", "\n"]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(REFERENCES), max_size=6).map(" ".join), min_size=20, max_size=40))
+def test_references_decode_as_python_does(column, texts):
+    assert column(texts, M.decode_entities) == [html.unescape(t) for t in texts]
+
+
+BASES = ["https://h.org/a/b/c", "https://h.org", "https://h.org/", "https://h.org/a?x=/y#f", "https://h.org/a//b/?q#z"]
+PARTS = ["..", ".", "x", "y.html", "", "..."]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(BASES), st.lists(st.sampled_from(PARTS), max_size=5).map("/".join),
+                          st.sampled_from(["", "?a=../b", "#t", "?a#b"])), min_size=20, max_size=40))
+def test_links_resolve_as_in_a_browser(spark, rows):
+    # Python takes "//" at the start as a host, even an empty one.
+    rows = [(base, link + rest) for base, link, rest in rows if not link.startswith("//")]
+    df = spark.createDataFrame(rows or [(BASES[0], "")], "base string, link string")
+    found = df.select("base", "link", P.resolve_url(df.base, df.link).alias("url")).collect()
+    assert [r.url for r in found] == [urljoin(r.base, r.link) for r in found]
+
+
 @pytest.mark.parametrize(
     "xml, ids",
     [
@@ -109,6 +136,8 @@ def test_entities_match_pythons_table(column):
         ('<?xml version="1.0"?><!DOCTYPE r "x"><r><IdList><Id>7</Id></IdList></r>\n', ["7"]),
         ("<r><IdList><Id>1</Id></IdList><IdList><Id>2</Id></IdList></r>", ["1"]),
         ("<r><IdList/><IdList><Id>2</Id></IdList></r>", None),
+        ("<n:r><IdList a='1'><Id t='2'>1</Id></IdList></n:r>", ["1"]),
+        ("<!-- a --><r><IdList><Id>1</Id></IdList></r>\n<!-- b -->", ["1"]),
         ("<r><Count>3</Count></r>", None),
         ("<r><IdList><Id>1</Id></IdList>", None),
         ("", None),

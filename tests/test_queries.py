@@ -33,8 +33,8 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["op_extract_facts", "op_fuse_facts", "op_search", "op_popularity",
-                                  "txt_html_to_text", "crawl_article_ids"])
+@pytest.mark.parametrize("name", ["join_gazetteer", "op_search", "op_popularity", "txt_html_to_text",
+                                  "crawl_article_ids", "agg_final_score"])
 def test_no_python_in_the_plan(spark, name):
     text = plan(entry.queries()[name](spark, SF_DIR))
     assert "EvalPython" not in text and "InPandas" not in text and "CartesianProduct" not in text
@@ -44,8 +44,14 @@ def test_text_is_matched_without_shuffling_words(spark):
     """Lookups are broadcast, and the only exchange above the scan moves hits to documents."""
     text = plan(entry.queries()["op_extract_facts"](spark, SF_DIR))
     assert text.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in text
-    by_document = [line for line in text.splitlines() if "Exchange hashpartitioning(source_file" in line]
-    assert len(by_document) == 1
+    exchanges = [line for line in text.splitlines() if " Exchange " in line]
+    assert len(exchanges) == 1 and "hashpartitioning(doc_id" in exchanges[0]
+    assert text.count("Sort [") == 1
+
+
+@pytest.mark.parametrize("name", ["op_candidate_facts", "txt_html_to_text", "prj_select", "op_normalize_candidates"])
+def test_texts_are_not_dealt_out_by_a_fixed_number(spark, name):
+    assert "REPARTITION_BY_NUM" not in plan(entry.queries()[name](spark, SF_DIR))
 
 
 def test_top_facts_are_cut_before_the_shuffle(spark):

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 
 from factspark.operators import search as SE
 from factspark.operators.fusion import default_weights
-from factspark.schemas import API_RAW, TABLES
+from factspark.schemas import NAMES_RAW, API_RAW, TABLES
 from factspark.session import fresh_path
 from factspark.sources import readers as R
 from factspark.sources import writers as W
@@ -22,12 +22,22 @@ def test_dense_ids_over_many_tasks(spark):
 
 def test_payload_records_are_bounded(spark):
     lines = spark.createDataFrame([(f"l{i:04}",) for i in range(25)], "line string").repartition(3)
-    found = {r.record_no: r.payload for r in W.text_payloads(lines, 10).collect()}
+    found = {r.record_no: (r.n_lines, r.payload) for r in W.text_payloads(lines, 10).collect()}
     assert found == {
-        n: "\n".join(f"l{i:04}" for i in range(10 * n, min(10 * n + 10, 25))) for n in range(3)
+        n: (10 if n < 2 else 5, "\n".join(f"l{i:04}" for i in range(10 * n, min(10 * n + 10, 25))))
+        for n in range(3)
     }
 
 
+def test_envelopes_are_read_back_in_order(spark):
+    lines = spark.createDataFrame([(f"l{i:04}",) for i in range(25)], "line string").repartition(3)
+    path = fresh_path(spark, "envelopes")
+    W.write_text_envelopes(lines, path, "s", 7)
+    back = R.read_json(spark, path, NAMES_RAW).orderBy("record_no").collect()
+    assert "\n".join(r.payload for r in back) == "\n".join(f"l{i:04}" for i in range(25))
+    assert [r.n_lines for r in back] == [7, 7, 7, 4]
+
+
 def test_replace_folder(spark):
     path = fresh_path(spark, "t")
     W.replace_folder(spark.range(3), path)
@@ -35,6 +45,36 @@ def test_replace_folder(spark):
     assert spark.read.parquet(path).count() == 5
 
 
+class _OneRenameFails:
+    """A file system whose rename fails the n-th time."""
+
+    def __init__(self, fs, fails):
+        self.fs, self.fails, self.calls = fs, fails, 0
+
+    def exists(self, path):
+        return self.fs.exists(path)
+
+    def delete(self, path, recursive):
+        return self.fs.delete(path, recursive)
+
+    def rename(self, old, new):
+        self.calls += 1
+        return False if self.calls == self.fails else self.fs.rename(old, new)
+
+
+@pytest.mark.parametrize("fails", [1, 2])
+def test_old_rows_stay_when_a_rename_fails(spark, fails):
+    path, staged = fresh_path(spark, "t"), fresh_path(spark, "staged")
+    W.replace_folder(spark.range(3), path)
+    spark.range(5).write.parquet(staged)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    with pytest.raises(OSError, match="cannot move"):
+        W._swap(_OneRenameFails(fs, fails), target, hadoop.Path(staged), hadoop.Path(path + ".old"))
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_replaced_rows_may_come_from_the_folder_itself(spark):
     path = fresh_path(spark, "t")
     W.replace_folder(spark.range(3), path)
@@ -128,15 +168,48 @@ def test_structured_search(spark):
     ]
     kinds = "all_of array<string>, any_of array<string>, none_of array<string>, prefix array<string>"
     queries = spark.createDataFrame(rows, "query_id int, " + kinds)
-    found = SE.match_structured(facts, SE.postings(facts), queries).collect()
+    found = SE.match(facts, SE.postings(facts), queries).collect()
     assert sorted((r.query_id, r.fact_value) for r in found) == [
         (1, "long coat"), (2, "no tail no tail"), (2, "usa"), (3, "usa"), (4, "no tail no tail")
     ]
 
 
-def test_postings_are_stored_by_word(spark):
+def test_a_limit_holds_for_each_query(spark):
+    facts = spark.createDataFrame(FACTS, SCHEMA)
+    queries = spark.createDataFrame([(1, "maine"), (2, "manx")], "query_id int, query string")
+    found = SE.search(facts, SE.postings(facts), queries, limit=1).collect()
+    assert [(r.query_id, r.fact_value) for r in found] == [(1, "long coat"), (2, "no tail no tail")]
+
+
+def test_terms_are_split_as_the_text_is(spark):
+    facts = spark.createDataFrame(FACTS, SCHEMA)
+    rows = [(1, "", ["maine-coon"], None, None, None), (2, "maine-coon", None, None, None, None),
+            (3, None, None, ["zzz", "no-tail"], None, None), (4, None, None, None, ["coon-zzz", "maine-coon"], None),
+            (5, None, None, None, None, ["maine-co"]), (6, "--", None, None, None, ["m"]), (7, " ", None, None, ["--"], None)]
+    kinds = "all_of array<string>, any_of array<string>, none_of array<string>, prefix array<string>"
+    queries = spark.createDataFrame(rows, "query_id int, query string, " + kinds)
+    found = SE.match(facts, SE.postings(facts), queries).collect()
+    by_query = {q: sorted(r.fact_value for r in found if r.query_id == q) for q in range(1, 8)}
+    assert by_query[1] == by_query[2] == by_query[5] == ["long coat", "usa"]
+    assert by_query[3] == by_query[4] == ["no tail no tail"]
+    assert by_query[6] == ["long coat", "no tail no tail", "usa"] and by_query[7] == []
+
+
+def test_queries_that_only_exclude_come_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(SE, "QUERY_BLOCK", 3)
+    facts = spark.createDataFrame(FACTS, SCHEMA)
+    queries = spark.createDataFrame([(i, ["coon"]) for i in range(20)], "query_id int, none_of array<string>")
+    found = SE.match(facts, SE.postings(facts), queries).collect()
+    assert sorted((r.query_id, r.fact_value, r["rank"]) for r in found) == [(i, "no tail no tail", 0.0) for i in range(20)]
+
+
+def test_a_search_reads_the_buckets_of_its_words(spark):
     facts = spark.createDataFrame(FACTS, SCHEMA)
     path = fresh_path(spark, "postings")
-    SE.write_postings(SE.postings(facts), path, 3)
-    back = spark.read.parquet(path)
+    SE.write_postings(SE.postings(facts), path)
+    back = SE.read_postings(spark, path)
     assert back.filter("lexeme = 'tail'").first().positions == [2, 4, 6]
+    queries = spark.createDataFrame([(1, "tail")], "query_id int, query string")
+    found = SE.matching_postings(back, SE.query_terms(queries))
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.fact_value for r in SE.search(facts, back, queries).collect()] == ["no tail no tail"]
