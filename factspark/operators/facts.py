@@ -12,6 +12,7 @@ from factspark.functions.strings import (
     after_first,
     array_where,
     before_first,
+    let,
     split_strip,
     strip,
     tag,
@@ -61,22 +62,29 @@ def parse_facts(df: DataFrame, fact: str = "fact", entity_label: str = "BREED")
     ``v``. Dropped: no colon, the entity label in any case, an empty value. An empty
     tag stays.
     """
-    split = df.withColumns(
-        {
-            "_prefix": F.upper(strip(before_first(F.col(fact), ":"))),
-            "_value": strip(after_first(F.col(fact), ":")),
-        }
+    parts = F.struct(
+        F.upper(strip(before_first(F.col(fact), ":"))).alias("prefix"),
+        strip(after_first(F.col(fact), ":")).alias("value"),
     )
-    keyed = (F.col("_prefix") == "FEATURE") & F.col("_value").contains("=")
-    kind = F.when(
-        keyed, F.concat(F.lit("feature_"), F.lower(strip(before_first(F.col("_value"), "="))))
-    ).otherwise(F.lower("_prefix"))
-    value = F.when(keyed, strip(after_first(F.col("_value"), "="))).otherwise(F.col("_value"))
-    return (
-        split.filter(F.col(fact).contains(":") & (F.col("_prefix") != entity_label))
-        .withColumns({"fact_type": kind, "fact_value": value})
-        .filter(F.col("fact_value") != "")
-        .drop("_prefix", "_value")
+
+    def parsed(p: Column) -> Column:
+        keyed = (p["prefix"] == "FEATURE") & p["value"].contains("=")
+        kind = F.when(
+            keyed, F.concat(F.lit("feature_"), F.lower(strip(before_first(p["value"], "="))))
+        ).otherwise(F.lower(p["prefix"]))
+        value = F.when(keyed, strip(after_first(p["value"], "="))).otherwise(p["value"])
+        return F.struct(
+            p["prefix"].alias("prefix"), kind.alias("fact_type"), value.alias("fact_value")
+        )
+
+    # One row or none of each fact: a filter on columns would compute them once more.
+    usable = F.filter(
+        F.array(let(parts, parsed)),
+        lambda f: (f["prefix"] != entity_label) & (f["fact_value"] != ""),
+    )
+    kept = F.when(F.col(fact).contains(":"), usable)
+    return df.select("*", F.explode(kept).alias("_parsed")).select(
+        *df.columns, "_parsed.fact_type", "_parsed.fact_value"
     )
 
 
@@ -84,12 +92,13 @@ def document_entities(docs: DataFrame, entity_label: str = "BREED") -> DataFrame
     """Documents that name an entity, as ``breed, source, hdfs_path, extracted_facts``."""
     explicit = F.col("source") if "source" in docs.columns else None
     entity = entity_of_doc(F.col("extracted_facts"), entity_label)
-    return docs.select(
-        entity.alias("breed"),
+    named = F.filter(F.array(entity), lambda e: F.length(e) > 0)  # computed once, one or none
+    return docs.select("*", F.explode(named).alias("breed")).select(
+        "breed",
         path_source(F.col("source_file"), explicit).alias("source"),
         F.col("source_file").alias("hdfs_path"),
         "extracted_facts",
-    ).filter(F.length("breed") > 0)
+    )
 
 
 def candidate_facts(docs: DataFrame, entity_label: str = "BREED") -> DataFrame:
