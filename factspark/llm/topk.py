@@ -152,17 +152,18 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` highest scores of each query: ``query_id, rank, vec_id, score``.
 
-    Queries are the rows whose id is divisible by ``every``, candidates all rows with
-    another id; the score is the inner product of floor(scale * x), ties go to the
-    smaller id. Vectors that are null or hold a null or non-finite component, and rows
-    without an id, take no part; vectors of different lengths don't meet. Equal vectors
-    are searched once, and of many equal candidates the k + 1 smallest ids are enough.
-    Repeated query rows give repeated results; an empty table gives none.
+    Queries are the rows whose id is divisible by ``every``, candidates all rows but the
+    query's own (others with its id take part); the score is the inner product of
+    floor(scale * x), ties go to the smaller id. Vectors that are null or hold a null or
+    non-finite component, and rows without an id, take no part; vectors of different
+    lengths don't meet. Equal vectors are searched once, and of many equal candidates
+    the k + 1 smallest ids are enough. Repeated query rows give repeated results; an
+    empty table gives none.
     """
     rows = stored(quantized(vectors, scale, id_column, vector_column), "vectors")
     size = F.length("v") / 8
     first = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    ids = rows.select("v", "id").distinct().withColumn("n", first).filter(F.col("n") <= k + 1)
+    ids = rows.select("v", "id").withColumn("n", first).filter(F.col("n") <= k + 1)
     data = stored(ids.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "distinct-vectors")
     is_query = F.pmod("id", F.lit(every)) == 0
     queries = stored(rows.filter(is_query).select("v").distinct(), "distinct-queries")
@@ -172,10 +173,16 @@ def top_k(
     best = _solved(data, queries, plans, k + 1)
     merged = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("score"), "id"))
     best = best.withColumn("n", merged).filter(F.col("n") <= k + 1)
-    best = best.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("n", "id", "score"))).alias("best"))
+    listed = F.sort_array(F.collect_list(F.struct("n", "id", "score")))
+    best = best.groupBy("v").agg(listed.alias("best"), F.max("own").alias("own"))
     joined = rows.filter(is_query).withColumnRenamed("id", "query_id").join(best, "v")
-    others = F.slice(F.filter("best", lambda x: x["id"] != F.col("query_id")), 1, k)
-    listed = joined.select("query_id", F.posexplode(others).alias("place", "hit"))
+    # The query's own row is one of those with its id and its own score, if it came this far.
+    is_own = F.transform("best", lambda x: (x["id"] == F.col("query_id")) & (x["score"] == F.col("own")))
+    own = F.array_position(is_own, True).cast("int")
+    after = F.slice("best", own + 1, F.lit(k + 1))
+    others = F.when(own > 0, F.concat(F.slice("best", F.lit(1), own - 1), after)).otherwise(F.col("best"))
+    listed = joined.withColumn("others", F.slice(others, 1, k))
+    listed = listed.select("query_id", F.posexplode("others").alias("place", "hit"))
     return listed.select(
         "query_id", (F.col("place") + 1).alias("rank"), F.col("hit")["id"].alias("vec_id"), F.col("hit")["score"].alias("score")
     )
@@ -233,7 +240,10 @@ _KEY = "size int, team int, block int, slice int"
 
 
 def _solved(data: DataFrame, queries: DataFrame, plans: dict[int, Plan], k: int) -> DataFrame:
-    """The ``k`` best (``id``, ``score``) of each distinct query ``v`` in each slice of the data."""
+    """The ``k`` best (``id``, ``score``) of each distinct query ``v`` in each slice of the data.
+
+    ``own`` is the query's score with itself.
+    """
 
     def key(size: int, team: np.ndarray, block: np.ndarray, part: np.ndarray) -> dict[str, pa.Array]:
         names = {"team": team, "block": block, "slice": part}
@@ -266,16 +276,19 @@ def _solved(data: DataFrame, queries: DataFrame, plans: dict[int, Plan], k: int)
                 yield pa.record_batch(key(size, team, block, slice_) | {"v": took.column("v"), "ids": took.column("ids")})
 
     def solve(asked: pa.Table, offered: pa.Table) -> pa.Table:
-        schema = pa.schema([("v", pa.binary()), ("id", pa.int64()), ("score", pa.int64())])
+        schema = pa.schema([("v", pa.binary()), ("id", pa.int64()), ("score", pa.int64()), ("own", pa.int64())])
         if not asked.num_rows or not offered.num_rows:
             return schema.empty_table()
-        at, ids, scores = best_of(matrix(asked["v"]), matrix(offered["v"]), offered["ids"].combine_chunks(), k)
-        return pa.table({"v": asked["v"].take(pa.array(at)), "id": pa.array(ids), "score": pa.array(scores)}).cast(schema)
+        wanted = matrix(asked["v"])
+        at, ids, scores = best_of(wanted, matrix(offered["v"]), offered["ids"].combine_chunks(), k)
+        own = np.array([products(q[None, :], q[None, :])[0, 0] for q in wanted], np.int64)[at]
+        found = {"v": asked["v"].take(pa.array(at)), "id": pa.array(ids), "score": pa.array(scores), "own": pa.array(own)}
+        return pa.table(found).cast(schema)
 
     keys = ["size", "team", "block", "slice"]
     left = queries.select("v").mapInArrow(ask, f"{_KEY}, v binary").groupBy(*keys)
     right = data.select("v", "ids").mapInArrow(offer, f"{_KEY}, v binary, ids array<long>").groupBy(*keys)
-    return left.cogroup(right).applyInArrow(solve, "v binary, id long, score long")
+    return left.cogroup(right).applyInArrow(solve, "v binary, id long, score long, own long")
 
 
 def _spread_by_hash(column: pa.Array, seed: int) -> np.ndarray:
