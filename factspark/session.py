@@ -22,6 +22,7 @@ def build_session(app_name: str = "factspark", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -53,9 +54,30 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_made: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove_stored(spark: SparkSession) -> int:
+    """Remove what this process wrote under fresh paths, and return how many there were.
+
+    Call it when no result that reads them is needed any more. Checkpoints are Spark's:
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` has them removed with the
+    DataFrames that hold them.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    removed = 0
+    while _made:
+        path = hadoop.Path(_made.pop())
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        removed += bool(fs.delete(path, True))
+    return removed
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.errors import AnalysisException
 
 from factspark.operators import search as SE
 from factspark.operators.fusion import default_weights
-from factspark.schemas import NAMES_RAW, API_RAW, TABLES
-from factspark.session import fresh_path
+from factspark.schemas import API_RAW, NAMES_RAW, TABLES
+from factspark.session import fresh_path, remove_stored
 from factspark.sources import readers as R
 from factspark.sources import writers as W
 
@@ -82,6 +82,14 @@ def test_replaced_rows_may_come_from_the_folder_itself(spark):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_stored_results_can_be_removed(spark):
+    path = fresh_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert remove_stored(spark) >= 1 and remove_stored(spark) == 0
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_write_counted(spark):
     path = fresh_path(spark, "t")
     assert W.write_counted(spark.range(50), path, preview=20)[0] == 50
