@@ -12,7 +12,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from factspark.functions.strings import WHITESPACE_CLASS, let, strip
+from factspark.functions.strings import WHITESPACE_CLASS, first_int, let, strip
 
 # What counts as markup, and where a search response states its hits.
 HAS_TAG = r"<[^>]+>"
@@ -128,7 +128,7 @@ def xml_ids(c: Column) -> Column:
 
 def first_count(c: Column) -> Column:
     """The number in the first ``<Count>`` element; NULL where there is none."""
-    return F.regexp_extract(c, COUNT, 1).try_cast("bigint")
+    return first_int(c, COUNT)
 
 
 def page_heading(html: Column) -> Column:

@@ -111,18 +111,18 @@ def search_term(name: Column) -> Column:
 
 
 # The public literature service the fetch lists address.
-_EUTILS = "https://eutils.ncbi.nlm.nih.gov/entrez/eutils/"
+EUTILS = "https://eutils.ncbi.nlm.nih.gov/entrez/eutils/"
 
 
 def search_url(term: Column) -> Column:
     """Search request for a term; the access key is added by whoever fetches."""
     return F.concat(
-        F.lit(f"{_EUTILS}esearch.fcgi?db=pubmed&term="), term, F.lit("+AND+cat&retmax=9999")
+        F.lit(f"{EUTILS}esearch.fcgi?db=pubmed&term="), term, F.lit("+AND+cat&retmax=9999")
     )
 
 
 def article_url(article_id: Column) -> Column:
-    return F.concat(F.lit(f"{_EUTILS}efetch.fcgi?db=pubmed&id="), article_id, F.lit("&retmode=xml"))
+    return F.concat(F.lit(f"{EUTILS}efetch.fcgi?db=pubmed&id="), article_id, F.lit("&retmode=xml"))
 
 
 def wiki_url(title: Column) -> Column:

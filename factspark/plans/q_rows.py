@@ -457,13 +457,10 @@ def fn_url_slug(spark, sf_dir):
     )
 
 
-_EUTILS = "https://eutils.ncbi.nlm.nih.gov/entrez/eutils/"
-
-
 @query(f"""
-    SELECT p_partkey, '{_EUTILS}esearch.fcgi?db=pubmed&term=' || lower(replace(p_name, ' ', '+'))
+    SELECT p_partkey, '{P.EUTILS}esearch.fcgi?db=pubmed&term=' || lower(replace(p_name, ' ', '+'))
                || '+AND+cat&retmax=9999' AS search_url,
-           '{_EUTILS}efetch.fcgi?db=pubmed&id=' || p_partkey || '&retmode=xml' AS article_url,
+           '{P.EUTILS}efetch.fcgi?db=pubmed&id=' || p_partkey || '&retmode=xml' AS article_url,
            'https://en.wikipedia.org/wiki/' || p_name AS wiki_url FROM part""")
 def fn_url_build(spark, sf_dir):
     return table(spark, sf_dir, "part").select(

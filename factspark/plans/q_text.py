@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from factspark.functions.markup import html_to_text
+from factspark.functions.paths import EUTILS
 from factspark.operators import crawl
 from factspark.operators.dictionary import name_lines
 from factspark.operators.extraction import (
@@ -342,11 +343,11 @@ def crawl_page_record(spark, sf_dir):
     return records.withColumn("content_hash", F.md5("content")).drop("content")
 
 
-@query(oracle("esearch_raw", """
+@query(oracle("esearch_raw", f"""
     , ids AS (SELECT DISTINCT regexp_extract(source_file, '([^/]+)/[^/]+$', 1) AS breed_group,
                      trim(unnest(regexp_extract_all(payload, '<Id>([^<]+)</Id>', 1))) AS article_id
               FROM esearch_raw)
-    SELECT *, 'https://eutils.ncbi.nlm.nih.gov/entrez/eutils/efetch.fcgi?db=pubmed&id=' || article_id
+    SELECT *, '{EUTILS}efetch.fcgi?db=pubmed&id=' || article_id
            || '&retmode=xml' AS url,
            '/raw/pubmed/articles/' || breed_group || '/' || article_id || '.json' AS target_path
     FROM ids"""))
@@ -357,7 +358,7 @@ def crawl_article_ids(spark, sf_dir):
 @query(oracle("lines", f"""
     , names AS (SELECT split_part(line, ', ', 1) AS canonical,
                        unnest(string_split(line, ', ')) AS name FROM lines)
-    SELECT canonical, name, 'https://eutils.ncbi.nlm.nih.gov/entrez/eutils/esearch.fcgi?db=pubmed&term='
+    SELECT canonical, name, '{EUTILS}esearch.fcgi?db=pubmed&term='
            || lower(replace(name, ' ', '+')) || '+AND+cat&retmax=9999' AS url,
            '/raw/pubmed/article_list/' || canonical || '/' || lower(replace(name, ' ', '+')) || '.json'
                AS target_path
