@@ -23,6 +23,8 @@ BLOCK_WORDS = 1
 #: Shards of all sources together, besides one for each source, and documents in a shard.
 SHARDS = 2048
 SHARD_DOCS = 64
+#: The white space between words, as a class of characters.
+SPACE = r"\x20\x09-\x0D"
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
@@ -110,7 +112,9 @@ def mix_sources(
     counted. Null is a source of its own. Rows with the same id and size are
     interchangeable: reruns give the same rows. A source without words gets nothing,
     an empty table gives no rows. With ``payload`` the whole input row comes along as
-    ``row``, so that clashing names do no harm.
+    ``row``, so that clashing names do no harm, and with it which words are taken: all of
+    them ``times`` times, and once more the first ``head`` and those from ``first`` up to
+    ``last`` (two parts where the run goes around the end within the document).
     """
     text = F.col(f"`{text_column}`").cast("string")
     columns = [
@@ -161,23 +165,42 @@ def mix_sources(
     run = (F.col("start"), F.col("run"), F.col("blocks"))
     taken = F.col("size") * F.col("times") + chosen(F.col("end")) - chosen(F.col("begin"))
     out = ["doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken")]
-    return rows.select(*out, *(["row"] if payload else []))
+    if not payload:
+        return rows.select(*out)
+
+    def words_before(blocks: Column) -> Column:
+        """Words of the document in the shard's first ``blocks`` blocks."""
+        return F.greatest(F.least(blocks * block - F.col("begin"), F.col("size")), F.lit(0)).cast("int")
+
+    stop = F.col("start") + F.col("run")
+    head = words_before(F.greatest(stop - F.col("blocks"), F.lit(0))).alias("head")
+    first = words_before(F.col("start")).alias("first")
+    last = words_before(F.least(stop, F.col("blocks"))).alias("last")
+    return rows.select(*out, F.col("times").cast("int").alias("times"), head, first, last, "row")
 
 
 def mixed_rows(docs: DataFrame, text_column: str = "text", **options) -> DataFrame:
     """The rows that the mix takes, with the columns of ``docs``.
 
-    A document that is taken r times over and k words more gives r rows with its whole
-    text and one with its first k words; one of which nothing is taken gives none.
+    A document that is taken r times and k words more gives r rows with its whole text and
+    one with those k words, or two where the run goes around its shard's end within the
+    document; one of which nothing is taken gives none.
     """
     rows = mix_sources(docs, text_column=text_column, payload=True, **options)
-    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    rows = rows.filter("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    rest = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size")).cast("int")
-    text = F.col("row")[text_column]
+
+    def part(first: Column, last: Column) -> Column:
+        return F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"))
+
+    none, size = F.lit(0), F.col("size")
+    once_more = F.array(part(none, F.col("head")), part(F.col("first"), F.col("last")))
+    parts = F.concat(F.array_repeat(part(none, size), F.col("times")), F.filter(once_more, lambda x: x["last"] > x["first"]))
+    rows = rows.filter("taken > 0").withColumn("part", F.explode(parts))
+    text, first, last = F.col("row")[text_column], F.col("part")["first"], F.col("part")["last"]
     # Each word with the white space before it, so that what is cut off is all that changes.
-    spaced = F.regexp_extract_all(text, F.lit(rf"([\x20\x09-\x0D]*{WORD})"), F.lit(1))
-    cut = F.when(rest < F.col("size"), F.array_join(F.slice(spaced, F.lit(1), rest), "")).otherwise(text)
+    spaced = F.regexp_extract_all(text, F.lit(rf"([{SPACE}]*{WORD})"), F.lit(1))
+    joined = F.array_join(F.slice(spaced, first + 1, last - first), "")
+    joined = F.when(first > 0, F.regexp_replace(joined, rf"\A[{SPACE}]+", "")).otherwise(joined)
+    cut = F.when(last - first < size, joined).otherwise(text)
     return rows.withColumn("cut", cut).select(
         *[(F.col("cut") if c == text_column else F.col("row")[c]).alias(c) for c in docs.columns]
     )

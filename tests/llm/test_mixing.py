@@ -99,6 +99,42 @@ def test_rows_of_the_mix(docs):
     assert {i: sum(n) for i, n in found.items()} == {i: sum(t) for i, t in taken.items() if sum(t)}
 
 
+@pytest.mark.parametrize(("seed", "block"), [(1, 1), (2, 1), (3, 1), (4, 7), (5, 7)])
+def test_the_rows_hold_the_words_of_the_chosen_blocks(spark, seed, block):
+    """Every word is another one, so that a part of a text shows which part it is."""
+    sizes = {"one long text": [500], "few": [40, 1, 0, 200, 30], "many": [3 * i % 50 for i in range(40)]}
+    rows, number = [], 0
+    for source, counts in sizes.items():
+        for n in counts:
+            rows.append((number, "\n".join(f"{number}-{i}" for i in range(n)) + " \n", source))
+            number += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    options = {"seed": seed, "block": block, "weights": (1, 2, 3), "share": 0.7, "most": 2}
+    taken = Counter()
+    for r in mixing.mix_sources(docs, **options).collect():
+        taken[r["source"]] += r["taken"]
+    texts, got = {i: t for i, t, _ in rows}, Counter()
+    for r in mixing.mixed_rows(docs, **options).collect():
+        assert r["text"] in texts[r["doc_id"]]
+        got.update(r["text"].split())
+    start = F.xxhash64(F.lit(seed + 2), "source", F.lit(0))
+    ordered = docs.withColumn("start", start).orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id").collect()
+    expected = Counter()
+    for source in sizes:
+        mine = [r for r in ordered if r["source"] == source]
+        words = [w for r in mine for w in r["text"].split()]
+        blocks = [words[k : k + block] for k in range(0, len(words), block)]
+        times, rest = divmod(taken[source], len(words))
+        expected.update(words * times)
+        place = mine[0]["start"] % len(blocks)
+        while rest > 0:
+            expected.update(blocks[place])
+            rest -= len(blocks[place])
+            place = (place + 1) % len(blocks)
+        assert rest == 0
+    assert got == expected
+
+
 def test_another_seed_takes_other_documents(docs):
     first, second = ({(r["doc_id"], r["taken"]) for r in mixing.mix_sources(docs, seed=s).collect()} for s in (1, 9))
     assert first != second
