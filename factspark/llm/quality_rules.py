@@ -150,13 +150,16 @@ def cascade(rules: list[Rule], statistics: Statistics) -> Column:
     return F.lit(True) if verdict is None else verdict.otherwise(True)
 
 
+#: So that a rerun takes the same rows of the same partitions.
+SAMPLE_SEED = 1
+
+
 def sample_of(docs: DataFrame, text_column: str, rows: int) -> DataFrame:
-    """About ``rows`` texts, chosen by a hash of the text; for estimates only."""
+    """About ``rows`` texts, nulls and copies by their share; for estimates only."""
     text = F.col(f"`{text_column}`").cast("string").alias("text")
-    total = docs.count()
-    share = min(1.0, rows / max(total, 1))
-    picked = docs.select(text).filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    return stored(picked, "rule-sample")
+    share = min(1.0, rows / max(docs.count(), 1))
+    # By row, as a hash takes either all copies of a text or none.
+    return stored(docs.select(text).sample(share, SAMPLE_SEED), "rule-sample")
 
 
 def plan_cascade(docs: DataFrame, text_column: str, rules: tuple[Rule, ...], sample_rows: int = 1000) -> list[Rule]:

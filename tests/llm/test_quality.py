@@ -157,3 +157,12 @@ def test_language_edge_cases(spark, piece_bpe, no_docs, edge_docs):
     assert all(0 < got[i][2] <= 1 for i in (3, 4, 5, None))
     assert {r["lang_pred"] for r in langid.identify_languages(edge_docs, piece_bpe).collect()} == {"und"}
     assert langid.identify_languages(no_docs, piece_bpe).count() == 0
+
+
+def test_the_cost_sample_holds_nulls_and_copies_by_their_share(spark):
+    copied = F.when(F.col("id") % 3 == 1, "one text").when(F.col("id") % 3 == 2, F.concat(F.lit("text "), "id"))
+    docs = spark.range(60_000).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("doc_id"), copied.alias("text"))
+    sample = quality_rules.sample_of(docs, "text", 1000)
+    found = {r["kind"]: r["count"] for r in sample.groupBy(F.substring("text", 1, 4).alias("kind")).count().collect()}
+    assert found.keys() == {None, "one ", "text"} and all(230 < n < 440 for n in found.values())
+    assert quality_rules.sample_of(docs.limit(500), "text", 1000).count() == 500
