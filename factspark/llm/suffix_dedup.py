@@ -181,11 +181,25 @@ def _spans(runs: DataFrame, length: int) -> DataFrame:
     return runs.select("doc_id", "text_hash", "lo", (F.col("lo") + F.col("n") - 1 + length).alias("hi"))
 
 
+def _texts_of(docs: DataFrame, per_text: DataFrame) -> DataFrame:
+    return docs.join(per_text, same_row(docs, per_text)).select(docs["doc_id"], docs["text_hash"], "text", "runs")
+
+
 def _with_bytes(runs: DataFrame, docs: DataFrame, length: int) -> DataFrame:
-    """``runs`` (h, doc_id, text_hash, lo, n) with the bytes of their windows."""
-    per_text = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("h", "lo", "n")).alias("runs"))
-    # Repeated rows need no second copy: they have the same runs.
-    joined = docs.join(per_text, same_row(docs, per_text)).select(docs["doc_id"], docs["text_hash"], "text", "runs")
+    """``runs`` (h, doc_id, text_hash, lo, n) with the bytes of their windows, each run once.
+
+    Repeated rows need no second copy: they have the same runs, which the first step
+    removes as whole copies. Only their texts are dealt out to be told apart.
+    """
+    once = runs.groupBy("h", "doc_id", "text_hash", "lo", "n").agg(F.count(F.lit(1)).alias("rows"))
+    per_text = once.groupBy("doc_id", "text_hash").agg(
+        F.collect_list(F.struct("h", "lo", "n")).alias("runs"), F.max("rows").alias("rows")
+    )
+    per_text = stored(per_text, "runs-of-texts")
+    joined = _texts_of(docs, per_text.filter("rows = 1"))
+    repeated = per_text.filter("rows > 1")
+    if not repeated.isEmpty():
+        joined = joined.unionByName(_texts_of(docs, repeated).dropDuplicates(["doc_id", "text_hash"]))
     prepare(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -74,6 +74,23 @@ def test_other_lengths(spark, passages, length):
     assert got == removed(rows, length)
 
 
+def test_repeated_rows_bring_their_runs_once(spark, passages, monkeypatch):
+    rows = [r for r in passages if r[0] is not None and r[0] < 40 and len(r[1] or "") < 3000]
+    rows += [passages[5]] * 30 + [passages[2]] * 30
+    seen, with_bytes = [], suffix_dedup._with_bytes
+
+    def spied(*args):
+        seen.append(with_bytes(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(suffix_dedup, "_with_bytes", spied)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in suffix_dedup.suffix_dedup(docs, 60).collect())
+    assert got == removed(rows, 60)
+    found = Counter((r["h"], r["doc_id"], r["text_hash"], r["lo"]) for r in seen[0].collect())
+    assert {i for _, i, _, _ in found} >= {5} and set(found.values()) == {1}
+
+
 def test_texts_without_repeats(spark, passages):
     rows = [(i, t, "x", None, 1, "r", "z", "h", "w") for i, t in passages]
     docs = spark.createDataFrame(rows, DOCS)
