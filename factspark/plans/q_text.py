@@ -182,7 +182,7 @@ def op_extract_shared_files(spark, sf_dir):
     """Files that hold many records each: one output row per record all the same."""
     path = fresh_path(spark, "records")
     rows = I.doc_raw(spark, sf_dir).select("title", F.col("text").alias("content"))
-    rows.coalesce(3).write.json(path)
+    rows.write.json(path)
     records = read_json(spark, path, "title string, content string", provenance="source_file")
     facts = extract_facts(records, I.rules(spark), text="content")
     return facts.select(

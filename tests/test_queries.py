@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
+from factspark.plans import inputs, q_text  # noqa: E402
 from tools.check import compare, connect  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -54,6 +55,16 @@ def test_texts_are_not_dealt_out_by_a_fixed_number(spark, name):
     assert "REPARTITION_BY_NUM" not in plan(entry.queries()[name](spark, SF_DIR))
 
 
+def test_shared_files_are_written_by_as_many_tasks_as_read_the_documents(spark, tmp_path, monkeypatch):
+    rows = spark.range(64).selectExpr("id AS doc_id", "'a cat' AS text", "'en' AS lang", "'s' AS source")
+    rows.repartition(32).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(q_text, "fresh_path", lambda *_: f"{tmp_path}/records")
+    found = q_text.op_extract_shared_files(spark, str(tmp_path))
+    tasks = inputs.doc_raw(spark, str(tmp_path)).rdd.getNumPartitions()
+    assert len(list((tmp_path / "records").glob("part-*"))) == tasks > 3
+    assert found.count() == 64
+
+
 def test_top_facts_are_cut_before_the_shuffle(spark):
     text = plan(entry.queries()["win_row_number_topk"](spark, SF_DIR))
     assert "WindowGroupLimit" in text and "Partial" in text
