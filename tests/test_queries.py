@@ -1,14 +1,18 @@
 """Every named query against its SQL, and what the plans must look like."""
 
 import os
+import re
 import sys
+from collections import Counter
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
+from factspark.operators.fusion import FACT  # noqa: E402
 from factspark.plans import inputs, q_text  # noqa: E402
+from test_tables import python_rank  # noqa: E402
 from tools.check import compare, connect  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -26,6 +30,25 @@ def test_query_matches_its_sql(spark, con, name):
     assert compare(spark, con, name, SF_DIR) is None
 
 
+def test_search_with_operators_in_full(spark, con):
+    """``op_search_operators`` shows the first 40 rows of a query; here are all, without its last clause."""
+    facts = q_text._facts(spark, SF_DIR)
+    found = q_text.search(facts, q_text._stored_postings(spark, facts), inputs.mixed_queries(spark)).collect()
+    whole = entry.oracle_sql()["op_search_operators"].rsplit("QUALIFY", 1)[0]
+    expected = Counter(con.execute(whole).fetchall())
+    assert Counter((r["query_id"], *[r[c] for c in FACT], round(r["final_score"], 9)) for r in found) == expected
+    assert max(Counter(r["query_id"] for r in found).values()) > 40
+    stored = {tuple(r[c] for c in FACT): (r["source_list"], r["mentions_count"]) for r in facts.collect()}
+    assert all((r["source_list"], r["mentions_count"]) == stored[tuple(r[c] for c in FACT)] for r in found)
+    asked = {number: (" ".join([plain, *all_of, *any_of]), prefix) for number, plain, all_of, any_of, _, prefix in inputs.MIXED}
+    for r in found:
+        words = re.findall(r"[^\W_]+", " ".join(r[c] for c in (*FACT, "source_list")).lower())
+        exact, prefix = asked[r["query_id"]]
+        wanted = set(re.findall(r"[^\W_]+", exact.lower()))
+        terms = sorted(w for w in set(words) if w in wanted or w.startswith(tuple(prefix)))
+        assert r["rank"] == pytest.approx(python_rank(" ".join(words), terms) if terms else 0)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
