@@ -10,6 +10,7 @@ from factspark.llm.langid import identify_languages
 from factspark.llm.mixing import mix_sources
 from factspark.llm.quality_classifier import classify
 from factspark.llm.quality_rules import quality_verdicts
+from factspark.llm.resampling import importance_resample
 from factspark.llm.simhash import simhash_dedup
 from factspark.llm.suffix_dedup import suffix_dedup
 from factspark.llm.token_counts import token_counts
@@ -110,3 +111,8 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2)
+
+
+@query()
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, min_words=20)
