@@ -16,6 +16,7 @@ from factspark.llm.suffix_dedup import suffix_dedup
 from factspark.llm.token_counts import token_counts
 from factspark.llm.token_files import token_file_digests
 from factspark.llm.topk import top_k
+from factspark.llm.toxicity import score_toxicity
 from factspark.llm.whitening import whiten
 from factspark.plans.registry import query
 
@@ -119,6 +120,11 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, min_words=20)
 
 
+@query()
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"), count=4, scale=256)
