@@ -12,51 +12,96 @@ the drawn rows are sorted, by ranges.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factspark.llm.blocks import chunks, flat_bytes, gather, map_blocks, prepare
 from factspark.llm.components import stored
+from factspark.llm.segments import runs_of
 from factspark.sources.writers import dense_ids
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BUCKETS = 10_000
 #: Bisection steps that one counting job takes at once: it counts at all their middles.
 LEVELS = 4
-
-
-def word_list(text: Column) -> Column:
-    """The words of a text, A-Z in lower case; none for null."""
-    lowered = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
-
-
-def feature_buckets(words: Column, buckets: int) -> Column:
-    """The bucket of each word and of each two neighbouring words, repeats included."""
-
-    def bucket(feature: Column) -> Column:
-        return (F.crc32(feature.cast("binary")) % buckets).cast("int")
-
-    pairs = F.greatest(F.size(words) - 1, F.lit(0))
-    joined = F.zip_with(
-        F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs), lambda a, b: bucket(F.concat(a, F.lit(" "), b))
-    )
-    return F.concat(F.transform(words, bucket), joined)
-
-
-def _featured(df: DataFrame, text_column: str, buckets: int, *keep: Column) -> DataFrame:
-    with_words = df.select(*keep, word_list(F.col(f"`{text_column}`")).alias("words"))
-    rest = [c for c in with_words.columns if c != "words"]
-    return with_words.select(*rest, F.size("words").alias("n_words"), feature_buckets(F.col("words"), buckets).alias("features"))
+#: Words of more bytes get their checksum one by one.
+WORD_BYTES = 64
+
+_INSIDE = np.zeros(256, bool)
+_INSIDE[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+
+
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1).astype(np.uint32)
+    return table
+
+
+_CRC = _crc_table()
+_START = np.uint32(0xFFFFFFFF)
+
+
+def checksums(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """The state of crc32 after the bytes of each span, from ``state`` on; the checksum is its complement."""
+    sizes = ends - starts
+    out = state.copy()
+    order = np.argsort(-np.minimum(sizes, WORD_BYTES + 1), kind="stable")
+    order = order[np.searchsorted(-sizes[order], -WORD_BYTES, "left") :]
+    first, length, current = starts[order], sizes[order], state[order]
+    for k in range(int(length[0]) if len(order) else 0):
+        active = int(np.searchsorted(-length, -k, "left"))
+        now = current[:active]
+        current[:active] = _CRC[(now ^ flat[first[:active] + k]) & 0xFF] ^ (now >> 8)
+    out[order] = current
+    for i in np.flatnonzero(sizes > WORD_BYTES).tolist():
+        out[i] = zlib.crc32(flat[starts[i] : ends[i]].tobytes(), int(~state[i])) ^ 0xFFFFFFFF
+    return out
+
+
+def block_features(flat: np.ndarray, bounds: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text of a block, and of all features (single words first) the text and the bucket."""
+    starts, ends = runs_of(_INSIDE[flat], bounds)
+    edges = np.searchsorted(starts, bounds)
+    n_words = np.diff(edges)
+    owner = np.repeat(np.arange(len(n_words)), n_words)
+    low = _LOWER[flat]
+    single = checksums(low, starts, ends, np.full(len(starts), _START))
+    second = np.flatnonzero(owner[1:] == owner[:-1]) + 1
+    after_blank = single[second - 1]
+    after_blank = _CRC[(after_blank ^ np.uint32(0x20)) & 0xFF] ^ (after_blank >> 8)
+    pair = checksums(low, starts[second], ends[second], after_blank)
+    return n_words, np.append(owner, owner[second]), (~np.append(single, pair)).astype(np.int64) % buckets
+
+
+def _texts(df: DataFrame, text_column: str, *keep: Column) -> DataFrame:
+    return df.select(*keep, F.col(f"`{text_column}`").cast("string").alias("text"))
 
 
 def bucket_counts(df: DataFrame, text_column: str, buckets: int) -> list[int]:
     """How many features of all texts fall into each bucket; what comes back is one number for each."""
-    found = _featured(df, text_column, buckets).select(F.explode("features").alias("bucket"))
+    prepare(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, np.int64)
+        for table in gather(batches):
+            flat, offsets = flat_bytes(table["text"])
+            for first, last in chunks(offsets):
+                low = int(offsets[first])
+                _, _, found = block_features(flat[low : int(offsets[last])], offsets[first : last + 1] - low, buckets)
+                total += np.bincount(found, minlength=buckets)
+        used = np.flatnonzero(total)
+        yield pa.record_batch({"bucket": pa.array(used, pa.int32()), "n": pa.array(total[used], pa.int64())})
+
+    found = _texts(df, text_column).mapInArrow(run, "bucket int, n long")
     counts = [0] * buckets
-    for row in found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+    for row in found.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         counts[row["bucket"]] = row["n"]
     return counts
 
@@ -71,12 +116,28 @@ def bucket_gains(corpus: Sequence[int], target: Sequence[int]) -> list[int]:
     ]
 
 
-def mean_gain(features: Column, gains: Sequence[int]) -> Column:
-    """The floored mean of the features' gains, exact; 0 without features."""
-    table = F.split(F.lit(",".join(map(str, gains))), ",").cast("array<long>")
-    total = F.aggregate(features, F.lit(0).cast("long"), lambda total, b: total + F.get(table, b))
-    n = F.size(features)
-    return F.when(n > 0, ((total - F.pmod(total, n)) / n).cast("long")).otherwise(F.lit(0).cast("long"))
+def weighed(docs: DataFrame, gains: Sequence[int]) -> DataFrame:
+    """``doc_id, n_words, n_features, weight`` of ``doc_id, text``.
+
+    The weight is the floored mean of the features' gains, exact, and 0 without features.
+    """
+    table_of_gains = np.array(gains, np.int64)
+
+    def run(table: pa.Table) -> pa.Table:
+        flat, offsets = flat_bytes(table["text"])
+        words, features = np.zeros((2, len(table)), np.int64)
+        total = np.zeros(len(table), np.int64)
+        for first, last in chunks(offsets):
+            low = int(offsets[first])
+            n_words, owner, found = block_features(flat[low : int(offsets[last])], offsets[first : last + 1] - low, len(gains))
+            words[first:last] = n_words
+            features[first:last] = np.bincount(owner, minlength=last - first)
+            # Whole numbers far below 2 ** 53, so that sums in doubles are exact.
+            total[first:last] = np.bincount(owner, table_of_gains[found], last - first).astype(np.int64)
+        weight = np.where(features > 0, total // np.maximum(features, 1), 0)
+        return pa.table({"doc_id": table["doc_id"], "n_words": words, "n_features": features, "weight": weight})
+
+    return map_blocks(docs, run, "doc_id long, n_words long, n_features long, weight long")
 
 
 def noise(doc_id: Column, seed: int) -> Column:
@@ -143,12 +204,7 @@ def importance_resample(
     target evens out the buckets. Other columns are ignored.
     """
     gains = bucket_gains(bucket_counts(docs, text_column, buckets), bucket_counts(target, target_column, buckets))
-    doc_id = F.col(f"`{id_column}`").cast("long").alias("doc_id")
-    found = _featured(docs, text_column, buckets, doc_id)
-    weighed = found.select(
-        "doc_id", "n_words", F.size("features").cast("long").alias("n_features"), mean_gain(F.col("features"), gains).alias("weight")
-    )
-    scored = weighed.select(
+    scored = weighed(_texts(docs, text_column, F.col(f"`{id_column}`").cast("long").alias("doc_id")), gains).select(
         "*",
         (F.col("weight") + noise(F.col("doc_id"), seed)).alias("score"),
         F.monotonically_increasing_id().alias("place"),

@@ -4,14 +4,17 @@ import hashlib
 import math
 import random
 import re
+import string
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from factspark.llm import resampling
+from factspark.llm.blocks import flat_bytes
 
-LOWER = str.maketrans(resampling.UPPER, resampling.LOWER)
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 MOST = 1 << 62
 
 
@@ -76,10 +79,22 @@ def test_first_rows_equal_a_sort(spark, k):
 
 def test_gains_and_means(spark):
     assert resampling.bucket_gains([0, 0], [0, 0]) == [0, 0]
-    rows = spark.createDataFrame([([0, 1, 1],), ([1],), ([],)], "f array<int>")
-    from pyspark.sql import functions as F
-
-    assert [r[0] for r in rows.select(resampling.mean_gain(F.col("f"), [5, -4])).collect()] == [-1, -4, 0]
+    gains = [5] * 10_000
+    gains[zlib.crc32(b"a b") % 10_000] = -4
+    texts = spark.createDataFrame([(1, "A? b"), (2, "a b a b"), (3, "")], "doc_id long, text string")
+    assert sorted(map(tuple, resampling.weighed(texts, gains).collect())) == [(1, 2, 3, 2), (2, 4, 7, 2), (3, 0, 0, 0)]
+
+
+def test_features_of_a_block(edge_texts):
+    texts = [*edge_texts[:300], "é" * 100 + " B", "x" * 64 + " " + "y" * 65 + " Z", "中" * 40]
+    flat, offsets = flat_bytes(pa.array(texts, pa.string()))
+    n_words, owner, buckets = resampling.block_features(flat, offsets, 10_000)
+    expected = [features(t) for t in texts]
+    assert n_words.tolist() == [n for n, _ in expected]
+    found = defaultdict(list)
+    for i, b in zip(owner.tolist(), buckets.tolist(), strict=True):
+        found[i].append(b)
+    assert [sorted(found[i]) for i in range(len(texts))] == [sorted(f) for _, f in expected]
 
 
 def test_empty_tables(spark, corpus, no_docs):
