@@ -18,21 +18,20 @@ How it runs: each word becomes one row that carries the few words after it. Look
 are joins on the word or phrase, so nothing but words that start a rule leaves the
 scan stage, and the only shuffle moves those hits to their document. A phrase of more
 than ``PHRASE_WINDOW`` words is looked up in pieces, so that no dictionary widens the
-rows of the corpus. The overlaps of a document are resolved in one pass over its hits.
+rows of the corpus. Running maxima find the runs of hits that overlap one another, and
+only within such a run hits are compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from factspark.functions.markup import html_to_text
-from factspark.functions.strings import feature_tag, sorted_set, tag
+from factspark.functions.strings import feature_tag, let, sorted_set, tag
 from factspark.operators.joins import fits_broadcast, lookup_join
 from factspark.session import cut_lineage, literal_table
 
@@ -249,7 +248,7 @@ def _events(
     """Rows that a rule found, still with overlaps, and one DOCUMENT row per document.
 
     Columns: the key, ``carry`` (DOCUMENT rows only), rule, start, end, tier, n, label,
-    canonical, surface, fact, whole, piece, pieces. PHRASE rows are hits with an end, or
+    canonical, surface, fact, whole, piece, pieces, copies (1). PHRASE rows are hits with an end, or
     pieces of one; SUBJECT_PHRASE rows are facts that hold if the hit at their span
     does; the others have no end, and their facts are finished.
 
@@ -351,124 +350,142 @@ def _events(
         "whole",
         "piece",
         "pieces",
+        F.lit(1).alias("copies"),
     )
     return rows, lexicon
 
 
-_HIT = ["start", "n", "tier", "label", "canonical", "surface", "fact"]
+def _whole_phrases(events: DataFrame, key: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """Events in which the pieces of a phrase that stand one behind the other are one hit."""
+    in_pieces = (F.col("rule") == PHRASE) & (F.col("pieces") > 1)
+    begin = F.col("start") - F.when(in_pieces, F.col("piece") * PHRASE_WINDOW).otherwise(0)
+    own = [F.when(~in_pieces, F.col(c)).alias(c) for c in ("end", "n", "surface", "fact")]
+    part = F.when(in_pieces, F.struct("piece", "n", "surface")).alias("part")
+    same = [*key, *carry, "rule", "in_pieces", "tier", "label", "canonical", "whole", "pieces"]
+    grouped = (
+        events.withColumn("in_pieces", in_pieces)
+        .select(*same, "copies", begin.alias("start"), *own, part)
+        .groupBy(*same, "start", "end", "n", "surface", "fact")
+        .agg(F.sum("copies").alias("copies"), F.array_sort(F.collect_set("part")).alias("parts"))
+        .filter(~F.col("in_pieces") | (F.size("parts") == F.col("pieces")))
+    )
+    n = F.aggregate("parts", F.lit(0), lambda total, p: total + p["n"])
+    surface = F.array_join(F.transform("parts", lambda p: p["surface"]), " ")
+    name = F.coalesce(F.when(F.col("tier") == 0, F.col("canonical")), surface)
+    found = {"n": n, "surface": surface, "end": F.col("start") + n, "fact": tag(F.col("label"), name)}
+    return grouped.withColumns(
+        {c: F.when(F.col("in_pieces"), value).otherwise(F.col(c)) for c, value in found.items()}
+    ).drop("in_pieces", "parts")
+
+
+# Bytes of a word's number in a list of spans, and of a span: its start and its end.
+_NUMBER, _SPAN = 8, 16
+
+
+def _number(c: Column) -> Column:
+    """A word's number as bytes that sort as the numbers do."""
+    return F.lpad(F.hex(c), _NUMBER, "0").cast("binary")
 
 
-def _per_document(
-    events: DataFrame, key: Sequence[str], keep: Sequence[str], out: str, columns: StructType,
-    resolve: bool = True,
-) -> DataFrame:
-    """One pass over the events of each document, in the task that holds them.
+def _searched(spans: Column, end: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of how many of ``spans`` start before ``end``.
 
-    Pieces that stand one behind the other make a hit of their whole phrase. With
-    ``resolve``, hits that overlap a better one go: by tier, the longest first, then the
-    leftmost; the work is in proportion to the words that hits cover. ``out`` is
-    ``facts`` (one row per document: its distinct facts) or ``hits`` (one row per hit).
+    The spans are the bytes of disjoint ones in order, so that a step of the search reads a
+    few bytes, and adding a span copies bytes instead of values.
     """
-    wanted = ["rule", "end", *_HIT, "whole", "piece", "pieces"]
-    dealt = events.select(*keep, *wanted).repartition(*key)
-    dealt = dealt.sortWithinPartitions(*key, F.col("rule") != DOCUMENT)
-    n_key, window = len(key), PHRASE_WINDOW
-    document, phrase_rule, subject = DOCUMENT, PHRASE, SUBJECT_PHRASE
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def joined(pieces: list[tuple]) -> list[tuple]:
-            """Hits of whole phrases from their pieces."""
-            found: dict[tuple, dict[int, tuple]] = {}
-            for hit, whole, piece, count in pieces:
-                found.setdefault((whole, hit[0] - piece * window, hit[3], count), {})[piece] = hit
-            hits = []
-            for (_, start, label, count), parts in found.items():
-                if len(parts) == count:
-                    surface = " ".join(parts[i][5] for i in range(count))
-                    _, _, tier, _, canonical, _, _ = parts[0]
-                    name = canonical if tier == 0 and canonical is not None else surface
-                    length = sum(p[1] for p in parts.values())
-                    hits.append((start, length, tier, label, canonical, surface, f"{label}:{name}"))
-            return hits
-
-        def order(hit: tuple) -> tuple:
-            start, length, tier, label, canonical = hit[:5]
-            return tier, -length, start, label, canonical is not None, canonical or ""
-
-        def finished(doc: dict) -> tuple[list[tuple], list[str]]:
-            hits = sorted(doc["hits"] + joined(doc["pieces"]), key=order)
-            if not resolve:
-                return hits, []
-            taken: set[int] = set()
-            spans: set[tuple[int, int]] = set()
-            kept = []
-            for hit in hits:
-                covered = range(hit[0], hit[0] + hit[1])
-                if taken.isdisjoint(covered):
-                    taken.update(covered)
-                    spans.add((hit[0], hit[0] + hit[1]))
-                    kept.append(hit)
-            facts = doc["facts"] | {hit[6] for hit in kept}
-            facts |= {fact for start, end, fact in doc["waiting"] if (start, end) in spans}
-            return kept, sorted(f for f in facts if f is not None)
-
-        def rows(docs: list[dict]) -> Iterator[pa.RecordBatch]:
-            if not docs:
-                return
-            solved = [finished(doc) for doc in docs]
-            heads = pa.Table.from_batches([doc["head"] for doc in docs])
-            if out == "facts":
-                facts = pa.array([f for _, f in solved], pa.list_(pa.string()))
-                table = heads.append_column("extracted_facts", facts)
-            else:
-                number = [i for i, (hits, _) in enumerate(solved) for _ in hits]
-                table = heads.take(pa.array(number, pa.int64()))
-                hits = [hit for found, _ in solved for hit in found]
-                kinds = [pa.int32()] * 3 + [pa.string()] * 4
-                for k, (name, kind) in enumerate(zip(names, kinds, strict=True)):
-                    table = table.append_column(name, pa.array([hit[k] for hit in hits], kind))
-            yield from table.combine_chunks().to_batches(max_chunksize=10_000)
-
-        names = ["start", "n", "tier", "label", "canonical", "surface", "fact"]
-        current, done, size = None, [], 0
-        for batch in batches:
-            values = batch.to_pydict()
-            keys = list(zip(*[values[batch.schema.names[k]] for k in range(n_key)], strict=True))
-            listed = zip(*[values[c] for c in names], strict=True)
-            for i, (name, hit) in enumerate(zip(keys, listed, strict=True)):
-                if current is None or current["key"] != name:
-                    if current is not None:
-                        done.append(current)
-                        size += len(current["hits"]) + len(current["waiting"]) + 1
-                        if size > 20_000:
-                            yield from rows(done)
-                            done, size = [], 0
-                    head = batch.select(list(range(n_keep))).slice(i, 1)
-                    current = {"key": name, "head": head, "hits": [], "pieces": [], "waiting": [],
-                               "facts": set(), "documents": 0}
-                rule = values["rule"][i]
-                if rule == document:
-                    current["documents"] += 1
-                    if current["documents"] > 1:
-                        raise ValueError(f"the key {name} stands for more than one document")
-                elif rule == phrase_rule and values["pieces"][i] > 1:
-                    piece = values["whole"][i], values["piece"][i], values["pieces"][i]
-                    current["pieces"].append((hit, *piece))
-                elif rule == phrase_rule:
-                    current["hits"].append(hit)
-                elif rule == subject:
-                    current["waiting"].append((values["start"][i], values["end"][i], hit[6]))
-                else:
-                    current["facts"].add(hit[6])
-        if current is not None:
-            yield from rows([*done, current])
-
-    n_keep = len(keep)
-    return dealt.mapInArrow(run, columns)
-
-
-def _hit_columns(events: DataFrame, key: Sequence[str]) -> StructType:
-    return StructType([events.schema[c] for c in [*key, *_HIT]])
+    n = (F.octet_length(spans) / _SPAN).cast("int")
+
+    def halve(bounds: Column, _: Column) -> Column:
+        middle = F.floor((bounds["low"] + bounds["high"]) / 2).cast("int")
+        before = F.substr(spans, middle * _SPAN + 1, F.lit(_NUMBER)) < end
+        low = F.when(before, middle + 1).otherwise(bounds["low"])
+        high = F.when(before, bounds["high"]).otherwise(middle)
+        narrowed = F.struct(low.alias("low"), high.alias("high"))
+        return F.when(bounds["low"] < bounds["high"], narrowed).otherwise(bounds)
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(n + 1)).cast("int"))
+    bounds = F.struct(F.lit(0).alias("low"), n.alias("high"))
+    return F.aggregate(steps, bounds, halve, lambda bounds: use(bounds["low"]))
+
+
+def _free_spans(hits: Column) -> Column:
+    """The spans of those of ``hits``, the best first, that overlap no better one that stays.
+
+    The spans that stay are disjoint, so that a binary search finds the only one that the
+    next hit may overlap.
+    """
+
+    def merge(spans: Column, hit: Column) -> Column:
+        def added(place: Column) -> Column:
+            at = place * _SPAN
+            fits = (place == 0) | (F.substr(spans, at - _NUMBER + 1, F.lit(_NUMBER)) <= hit["begin"])
+            rest = F.substr(spans, at + 1, F.octet_length(spans) - at)
+            whole = F.concat(F.substr(spans, F.lit(1), at), hit["begin"], hit["end"], rest)
+            return F.when(fits, whole).otherwise(spans)
+
+        return _searched(spans, hit["end"], added)
+
+    coded = F.transform(
+        hits,
+        lambda h: F.struct(_number(h["start"]).alias("begin"), _number(h["start"] + h["n"]).alias("end")),
+    )
+    return F.aggregate(coded, F.lit(bytearray()), merge)
+
+
+def _among(hits: Column, spans: Column) -> Column:
+    """Those of ``hits`` whose span is one of ``spans``, which are read from the row once."""
+
+    def found(spans: Column, hit: Column) -> Column:
+        begin, end = _number(hit["start"]), _number(hit["start"] + hit["n"])
+
+        def same(place: Column) -> Column:
+            last = F.substr(spans, (place - 1) * _SPAN + 1, F.lit(_SPAN))
+            return (place > 0) & (last == F.concat(begin, end))
+
+        return _searched(spans, end, same)
+
+    return let(spans, lambda spans: F.filter(hits, lambda hit: found(spans, hit)))
+
+
+def _resolved(events: DataFrame, key: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """Events by runs of overlapping hits: the key, ``run``, ``kept``, ``facts`` and ``carry``.
+
+    A run is what hits connect that overlap one another; it ends where no hit before
+    reaches the next one's start. A hit alone in its run stays as it is. Of others those
+    go that overlap a better one: by tier, the longest first, then the leftmost. ``facts``
+    are those of the hits kept, those that wait for a hit, and, in run 0, the finished ones.
+    A key that stands for more than one document ends the job with an error.
+    """
+    rule, start, end = F.col("rule"), F.col("start"), F.col("end")
+    is_hit = rule.isin(PHRASE, SUBJECT_PHRASE)
+    order = Window.partitionBy(*key).orderBy(is_hit, "start", "end")
+    reach = F.max(F.when(is_hit, end)).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = is_hit & (reach.isNull() | (start >= reach))
+    run = F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    # The order of hits is that of their first fields; no two have the same place and length.
+    hit = F.struct("tier", (-F.col("n")).alias("minus_n"), "start", "n", "label", "canonical", "surface", "fact")
+    grouped = (
+        events.withColumn("opens", opens.cast("int"))
+        .withColumn("run", run)
+        .groupBy(*key, "run")
+        .agg(
+            F.collect_list(F.when(rule == PHRASE, hit)).alias("hits"),
+            F.collect_list(F.when(rule == SUBJECT_PHRASE, F.struct("start", "end", "fact"))).alias("waiting"),
+            F.collect_set(F.when(~is_hit, F.col("fact"))).alias("finished"),
+            F.sum(F.when(rule == DOCUMENT, F.col("copies"))).alias("documents"),
+            *[F.first(c, ignorenulls=True).alias(c) for c in carry],
+        )
+    )
+    repeated = F.concat(F.lit("the key "), F.to_json(F.struct(*key)), F.lit(" stands for more than one document"))
+    sound = grouped.filter(F.when(F.col("documents") > 1, F.raise_error(repeated).cast("boolean")).otherwise(True))
+    spans = F.when(F.size("hits") > 1, _free_spans(F.array_sort("hits")))
+    kept = F.when(F.size("hits") > 1, _among(F.col("hits"), F.col("spans"))).otherwise(F.col("hits"))
+    held = F.filter(
+        "waiting",
+        lambda w: F.exists("kept", lambda k: (k["start"] == w["start"]) & (k["start"] + k["n"] == w["end"])),
+    )
+    facts = F.concat(F.transform("kept", lambda k: k["fact"]), F.transform(held, lambda w: w["fact"]), F.col("finished"))
+    return sound.withColumn("spans", spans).withColumn("kept", kept).select(*key, "run", *carry, "kept", facts.alias("facts"))
 
 
 def gazetteer_hits(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id",
@@ -482,7 +499,7 @@ def gazetteer_hits(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id",
     events, lexicon = _events(docs, [key], text, [], rules, phrase_table(dictionary))
     hits = events.filter(F.col("rule") == PHRASE)
     if lexicon.pieces:
-        hits = _per_document(hits, [key], [key], "hits", _hit_columns(hits, [key]), resolve=False)
+        hits = _whole_phrases(hits, [key], [])
     return hits.select(key, "start", "n", "label", "canonical", "surface")
 
 
@@ -490,14 +507,16 @@ def gazetteer_match(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id",
                     text: str = "text", place_labels: Sequence[str] = ("ORIGIN",)) -> DataFrame:
     """The dictionary matches that remain when overlaps are resolved, with their facts.
 
-    ``key`` must tell documents apart.
+    ``key`` must tell documents apart; a key that repeats ends the job with an error.
     """
     rules = Rules(dictionary, place_labels=place_labels)
     phrases = preferred_phrases(phrase_table(dictionary, place_labels))
-    events, _ = _events(docs, [key], text, [], rules, phrases)
-    hits = events.filter(F.col("rule") == PHRASE)
-    found = _per_document(hits, [key], [key], "hits", _hit_columns(hits, [key]))
-    return found.select(key, "n", "start", "label", "canonical", "surface", "fact")
+    events, lexicon = _events(docs, [key], text, [], rules, phrases)
+    events = events.filter(F.col("rule").isin(PHRASE, DOCUMENT))
+    if lexicon.pieces:
+        events = _whole_phrases(events, [key], [])
+    found = _resolved(events, [key]).select(key, F.explode("kept").alias("hit"))
+    return found.select(key, *[F.col("hit")[c].alias(c) for c in ("n", "start", "label", "canonical", "surface", "fact")])
 
 
 def word_facts(docs: DataFrame, rules: Rules, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -519,11 +538,15 @@ def document_facts(docs: DataFrame, rules: Rules, key: Sequence[str], text: str,
     phrases = None
     if rules.dictionary is not None:
         phrases = preferred_phrases(phrase_table(rules.dictionary, rules.place_labels))
-    events, _ = _events(docs, key, text, carry, rules, phrases)
-    kept = [*key, *carry]
-    facts = StructField("extracted_facts", ArrayType(StringType()))
-    columns = StructType([*[events.schema[c] for c in kept], facts])
-    return _per_document(events, key, kept, "facts", columns)
+    events, lexicon = _events(docs, key, text, carry, rules, phrases)
+    if lexicon.pieces:
+        events = _whole_phrases(events, key, carry)
+    facts = F.filter(F.array_distinct(F.flatten(F.collect_list("facts"))), lambda f: f.isNotNull())
+    return (
+        _resolved(events, key, carry)
+        .groupBy(*key)
+        .agg(*[F.first(c, ignorenulls=True).alias(c) for c in carry], F.array_sort(facts).alias("extracted_facts"))
+    )
 
 
 RECORD = "_record"
