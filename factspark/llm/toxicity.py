@@ -106,37 +106,69 @@ def entry_keys(entries: list[bytes]) -> np.ndarray:
     return out
 
 
-@dataclass(frozen=True)
-class Lexicon:
-    entries: tuple[bytes, ...]
-    weights: tuple[float, ...]
+def _begins(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A number below 2 ** 16 from the first bytes of each word."""
+    first, second, third = (flat[np.minimum(starts + i, len(flat) - 1)].astype(np.int64) for i in range(3))
+    return (first * 961 + second * 31 + third) & 0xFFFF
 
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Keys in ascending order and their weights."""
-        keys, weights = entry_keys(list(self.entries)), np.array(self.weights, np.float64)
+
+class Entries:
+    """Weights of beginnings and whole words by key, made for looking up whole arrays."""
+
+    def __init__(self, entries: tuple[bytes, ...], weights: tuple[float, ...]) -> None:
+        keys = entry_keys(list(entries))
         order = np.argsort(keys)
-        return keys[order], weights[order]
+        self.keys, self.weights = keys[order], np.array(weights, np.float64)[order]
+        #: Which words can be in here at all, by their first bytes; those of fewer always can.
+        self.possible = np.zeros(1 << 16, bool)
+        long = [np.frombuffer(e[:3], np.uint8) for e in entries if len(e.rstrip(b" ")) >= 3]
+        if long:
+            self.possible[_begins(np.concatenate(long), np.arange(0, 3 * len(long), 3))] = True
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The weight of each key, 0 where there is none."""
+        if not len(self.keys) or not len(keys):
+            return np.zeros(len(keys))
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.weights[at], 0.0)
+
+    def strongest(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The largest weight of any entry that each word of ``flat`` begins with or is."""
+        out = np.zeros(len(starts))
+        if not len(self.keys) or not len(starts):
+            return out
+        some = np.flatnonzero(self.possible[_begins(flat, starts)] | ((ends - starts < 3) & (ends > starts)))
+        sums = prefix_hashes(flat)
+        keys = span_hashes(sums, starts[some], ends[some])
+        _, first, back = np.unique(keys, return_index=True, return_inverse=True)
+        a, b = starts[some][first], ends[some][first]
+        best = self.find(_whole_key(keys[first]))
+        for size in STEMS:
+            long = np.flatnonzero(b - a >= size)
+            best[long] = np.maximum(best[long], self.find(span_hashes(sums, a[long], a[long] + size)))
+        out[some] = best[back]
+        return out
 
 
-def _lookup(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The weight of each key, 0 where the lexicon has none."""
-    known, weights = table
-    if not len(known) or not len(keys):
-        return np.zeros(len(keys))
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, weights[at], 0.0)
+@dataclass(frozen=True)
+class Lexicon:
+    entries: tuple[bytes, ...]
+    weights: tuple[float, ...]
 
+    def plain(self) -> Entries:
+        return Entries(self.entries, self.weights)
 
-def _strongest(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The largest weight of any entry that each word begins with or is."""
-    keys = span_hashes(sums, starts, ends)
-    _, first, back = np.unique(keys, return_index=True, return_inverse=True)
-    a, b = starts[first], ends[first]
-    best = _lookup(_whole_key(keys[first]), table)
-    for size in STEMS:
-        long = np.flatnonzero(b - a >= size)
-        best[long] = np.maximum(best[long], _lookup(span_hashes(sums, a[long], a[long] + size), table))
-    return best[back]
+    def squeezed(self) -> Entries:
+        """With each run of one letter as one letter; what becomes too short to tell words by is left out."""
+        kept: dict[bytes, float] = {}
+        for entry, weight in zip(self.entries, self.weights, strict=True):
+            flat = np.frombuffer(entry, np.uint8)
+            new = np.ones(len(flat), bool)
+            new[1:] = flat[1:] != flat[:-1]
+            short = flat[new].tobytes()
+            if len(short) >= STEMS[0]:
+                kept[short] = max(weight, kept.get(short, 0.0))
+        return Entries(tuple(kept), tuple(kept.values()))
 
 
 def _lowered(flat: np.ndarray) -> np.ndarray:
@@ -144,7 +176,7 @@ def _lowered(flat: np.ndarray) -> np.ndarray:
 
 
 def _disguised(
-    flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: tuple[np.ndarray, np.ndarray]
+    flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexicon: Entries
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of words between white space: which mix letters with signs inside, which stretch a
     letter, and which of these are lexicon words once signs become letters or go and
@@ -176,43 +208,30 @@ def _disguised(
         new[1:] = (text[1:] != text[:-1]) | (owner[1:] != owner[:-1])
         text, owner = text[new], owner[new]
         bounds = np.searchsorted(owner, np.arange(len(odd) + 1))
-        hits[odd] |= _strongest(prefix_hashes(text), bounds[:-1], bounds[1:], table) > 0
+        hits[odd] |= lexicon.strongest(text, bounds[:-1], bounds[1:]) > 0
     return inside, stretched, hits
 
 
-def _squeezed(entries: tuple[bytes, ...]) -> tuple[bytes, ...]:
-    """Entries with each run of one letter as one letter."""
-    out = []
-    for entry in entries:
-        flat = np.frombuffer(entry, np.uint8)
-        keep = np.ones(len(flat), bool)
-        keep[1:] = flat[1:] != flat[:-1]
-        out.append(flat[keep].tobytes())
-    return tuple(out)
-
-
 _YOU = np.sort(entry_keys([w.encode() for w in SECOND_PERSON]))
 
 
-def block_features(flat: np.ndarray, bounds: np.ndarray, lexicon: Lexicon) -> np.ndarray:
+def block_features(flat: np.ndarray, bounds: np.ndarray, plain: Entries, squeezed: Entries) -> np.ndarray:
     """FEATURES of each text of a block, as rows; all zero for a text without words."""
     n = len(bounds) - 1
-    table = lexicon.table()
-    squeezed = Lexicon(_squeezed(lexicon.entries), lexicon.weights).table()
     low = _lowered(flat)
     sums = prefix_hashes(low)
     starts, ends = runs_of(_LETTER[flat], bounds)
     edges = np.searchsorted(starts, bounds)
     n_words = np.diff(edges)
     owner = np.repeat(np.arange(n), n_words)
-    weight = _strongest(sums, starts, ends, table) if len(starts) else np.zeros(0)
+    weight = plain.strongest(low, starts, ends)
     hit = weight > 0
     keys = span_hashes(sums, starts, ends)
     at = np.minimum(np.searchsorted(_YOU, keys), len(_YOU) - 1)
     you = _YOU[at] == keys
     hits = np.bincount(owner[hit], minlength=n)
-    pairs = np.unique(np.stack([owner[hit].astype(np.uint64), keys[hit]], 1), axis=0)
-    kinds = np.bincount(pairs[:, 0].astype(np.int64), minlength=n) if len(pairs) else np.zeros(n)
+    pairs = np.unique(mix(keys[hit] + _WHOLE * owner[hit].astype(np.uint64)), return_index=True)[1]
+    kinds = np.bincount(owner[hit][pairs], minlength=n)
     strongest = np.zeros(n)
     np.maximum.at(strongest, owner[hit], weight[hit])
     so_far = np.concatenate(([0], np.cumsum(hit)))
@@ -263,8 +282,9 @@ def features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         flat, offsets = flat_bytes(table["text"])
+        entries = lexicon.plain(), lexicon.squeezed()
         rows = [
-            block_features(flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lexicon) for a, b in chunks(offsets)
+            block_features(flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], *entries) for a, b in chunks(offsets)
         ]
         values = np.concatenate(rows)
         return pa.table({"doc_id": table["doc_id"]} | {name: pa.array(values[:, k]) for k, name in enumerate(FEATURES)})

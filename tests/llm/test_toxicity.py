@@ -21,7 +21,7 @@ LEXICON = Lexicon((b"idiot ", b"trash ", b"vequ", b"bully "), (4.0, 2.0, 3.0, 1.
 
 def measured(texts, lexicon=LEXICON):
     flat, offsets = flat_bytes(pa.array(texts, pa.string()))
-    return [SimpleNamespace(**dict(zip(FEATURES, row, strict=True))) for row in toxicity.block_features(flat, offsets, lexicon).tolist()]
+    return [SimpleNamespace(**dict(zip(FEATURES, row, strict=True))) for row in toxicity.block_features(flat, offsets, lexicon.plain(), lexicon.squeezed()).tolist()]
 
 
 def test_features_by_hand():
@@ -51,6 +51,19 @@ def test_disguised_words(word, disguised, inside, stretched):
     assert (row.disguised_hits > 0, row.obfuscation > 0, row.stretched > 0) == (disguised, inside, stretched)
 
 
+def test_strongest_entries_equal_brute_force(edge_texts):
+    texts = [t.lower() for t in edge_texts[:150] if t] + ["ab abc abcd abcde abd"]
+    entries = (b"abc", b"abcd", b"ab ", b"abd ", b"word ", b"wor", "é ".encode(), "中中".encode())
+    lexicon = Lexicon(entries, tuple(float(i + 1) for i in range(len(entries))))
+    for text in texts:
+        words = re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", text)
+        expected = [max([w for e, w in zip(entries, lexicon.weights, strict=True) if (x.encode() + b" ").startswith(e)], default=0) for x in words]
+        flat = np.frombuffer(text.encode(), np.uint8)
+        inside = toxicity._LETTER[flat]
+        starts, ends = toxicity.runs_of(inside, np.array([0, len(flat)]))
+        assert lexicon.plain().strongest(flat, starts, ends).tolist() == expected
+
+
 def test_near_you_and_bursts_stay_within_their_text():
     texts = ["you", "idiot " + "a " * 5 + "you", "idiot " + "a " * 4 + "you", "idiot " * 80, "trash " + "a " * 60 + "trash"]
     rows = measured(texts)
