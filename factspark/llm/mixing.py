@@ -20,9 +20,11 @@ from factspark.llm.quality_rules import WORD
 #: Words in a block. A shard's blocks are taken in runs, so that a small block cuts no
 #: more documents than a large one, and rounds less.
 BLOCK_WORDS = 1
-#: Shards of all sources together, besides one for each source, and documents in a shard.
+#: Shards of all sources together, besides one for each source, and documents in a shard:
+#: more shards than these where a shard would hold more than ``LARGEST_SHARD`` documents.
 SHARDS = 2048
 SHARD_DOCS = 64
+LARGEST_SHARD = 2_000_000
 #: The white space between words, as a class of characters.
 SPACE = r"\x20\x09-\x0D"
 
@@ -39,7 +41,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     place = F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights)))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place + 1)
     named = sizes.withColumn("weight", weight).withColumn("cap", F.col("source_size") * float(most))
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing).orderBy()
+    everything = by_name.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     by_ratio = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
     before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("all_words") * float(share) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
@@ -58,9 +60,11 @@ def shard_quotas(shards: DataFrame, block: int, most: float) -> DataFrame:
 
     The last seat goes to a quotient close to block / 2 words: with n shards, seats that
     any divisor between N + n / 2 and N - n / 2 would give are certain, and only the few
-    between them are ranked.
+    between them are ranked. Shares are summed in the order of source and shard, so that
+    the last bit of the sum, and with it the number of seats, is the same in every run.
     """
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing).orderBy()
+    everything = Window.orderBy(F.col("source").asc_nulls_last(), "shard")
+    everything = everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     totals = shards.withColumn("wanted", F.sum("share").over(everything)).withColumn("n", F.count(F.lit(1)).over(everything))
     totals = totals.withColumn("seats", F.round(F.col("wanted") / block).cast("long"))
 
@@ -93,45 +97,32 @@ def _chosen_before(place: Column, start: Column, run: Column, blocks: Column) ->
     return F.greatest(F.least(place, start + run) - start, F.lit(0)) + F.least(place, wrapped)
 
 
-def mix_sources(
-    docs: DataFrame,
-    weights: Sequence[float] = (5, 2, 1),
-    share: float = 1.5,
-    most: float = 2,
-    seed: int = 1,
-    block: int = BLOCK_WORDS,
-    shards: int = SHARDS,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    source_column: str = "source",
-    payload: bool = False,
-) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` of every document.
-
-    ``size`` counts words (null: none), ``taken`` those that the mix takes, repeats
-    counted. Null is a source of its own. Rows with the same id and size are
-    interchangeable: reruns give the same rows. A source without words gets nothing,
-    an empty table gives no rows. With ``payload`` the whole input row comes along as
-    ``row``, so that clashing names do no harm, and with it which words are taken: all of
-    them ``times`` times, and once more the first ``head`` and those from ``first`` up to
-    ``last`` (two parts where the run goes around the end within the document).
-    """
+def _measured(docs: DataFrame, id_column: str, text_column: str, source_column: str) -> list[Column]:
+    """What the mix needs of each row: no text, but a hash that tells texts apart."""
     text = F.col(f"`{text_column}`").cast("string")
-    columns = [
+    return [
         F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         F.col(f"`{source_column}`").cast("string").alias("source"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(text).alias("text_hash"),
     ]
-    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if payload else []
-    sized = docs.select(*columns, *whole)
-    if not payload:
-        sized = stored(sized, "sizes")
+
+
+def _chosen(
+    sized: DataFrame, weights: Sequence[float], share: float, most: float, seed: int, block: int, shards: int
+) -> DataFrame:
+    """Stored rows of ``doc_id, source, size, text_hash`` (and more) with what the mix takes of each.
+
+    Adds ``source_size, target, taken`` and which words are taken: all of them ``times``
+    times, and once more the first ``head`` and those from ``first`` up to ``last`` (two
+    parts where the run goes around the end within the document).
+    """
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     per_source = stored(per_source, "source-sizes")
     targets = source_targets(per_source.select("source", "source_size"), weights, share, most)
-    all_docs = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing).orderBy()
-    by_share = F.ceil(shards * F.col("n_docs") / F.sum("n_docs").over(all_docs))
-    n_shards = F.least(by_share, F.ceil(F.col("n_docs") / SHARD_DOCS)).cast("int")
+    all_docs = F.sum("n_docs").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing).orderBy())
+    in_all = F.greatest(F.lit(shards), F.ceil(all_docs / LARGEST_SHARD))
+    n_shards = F.least(F.ceil(in_all * F.col("n_docs") / all_docs), F.ceil(F.col("n_docs") / SHARD_DOCS)).cast("int")
     names = per_source.select(F.col("source").alias("name"), n_shards.alias("n_shards"))
     targets = targets.join(names, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     targets = stored(targets, "targets")
@@ -148,7 +139,7 @@ def mix_sources(
         F.col("source").alias("q_source"), F.col("shard").alias("q_shard"), "source_size", "target", "blocks", "quota"
     )
     same = F.col("source").eqNullSafe(F.col("q_source")) & (F.col("shard") == F.col("q_shard"))
-    order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size")
+    order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size", "text_hash")
     rows = dealt.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.join(quotas, same).withColumn("begin", F.col("end") - F.col("size"))
     full = F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(0)
@@ -162,31 +153,73 @@ def mix_sources(
         inside = _chosen_before(whole_blocks + 1, *run) - _chosen_before(whole_blocks, *run)
         return _chosen_before(whole_blocks, *run) * block + inside * (place - whole_blocks * block)
 
-    run = (F.col("start"), F.col("run"), F.col("blocks"))
-    taken = F.col("size") * F.col("times") + chosen(F.col("end")) - chosen(F.col("begin"))
-    out = ["doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken")]
-    if not payload:
-        return rows.select(*out)
-
     def words_before(blocks: Column) -> Column:
         """Words of the document in the shard's first ``blocks`` blocks."""
         return F.greatest(F.least(blocks * block - F.col("begin"), F.col("size")), F.lit(0)).cast("int")
 
+    run = (F.col("start"), F.col("run"), F.col("blocks"))
     stop = F.col("start") + F.col("run")
-    head = words_before(F.greatest(stop - F.col("blocks"), F.lit(0))).alias("head")
-    first = words_before(F.col("start")).alias("first")
-    last = words_before(F.least(stop, F.col("blocks"))).alias("last")
-    return rows.select(*out, F.col("times").cast("int").alias("times"), head, first, last, "row")
+    taken = F.col("size") * F.col("times") + chosen(F.col("end")) - chosen(F.col("begin"))
+    return rows.select(
+        *sized.columns,
+        "source_size",
+        "target",
+        taken.cast("long").alias("taken"),
+        F.col("times").cast("int").alias("times"),
+        words_before(F.greatest(stop - F.col("blocks"), F.lit(0))).alias("head"),
+        words_before(F.col("start")).alias("first"),
+        words_before(F.least(stop, F.col("blocks"))).alias("last"),
+    )
+
 
+def mix_sources(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    share: float = 1.5,
+    most: float = 2,
+    seed: int = 1,
+    block: int = BLOCK_WORDS,
+    shards: int = SHARDS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+) -> DataFrame:
+    """``doc_id, source, size, source_size, target, taken`` of every document.
 
-def mixed_rows(docs: DataFrame, text_column: str = "text", **options) -> DataFrame:
+    ``size`` counts words (null: none), ``taken`` those that the mix takes, repeats
+    counted. Null is a source of its own. Rows with the same id and text are
+    interchangeable: reruns give the same rows. A source without words gets nothing,
+    an empty table gives no rows. Other columns are ignored.
+    """
+    sized = stored(docs.select(*_measured(docs, id_column, text_column, source_column)), "sizes")
+    rows = _chosen(sized, weights, share, most, seed, block, shards)
+    return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def mixed_rows(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    share: float = 1.5,
+    most: float = 2,
+    seed: int = 1,
+    block: int = BLOCK_WORDS,
+    shards: int = SHARDS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+) -> DataFrame:
     """The rows that the mix takes, with the columns of ``docs``.
 
     A document that is taken r times and k words more gives r rows with its whole text and
     one with those k words, or two where the run goes around its shard's end within the
-    document; one of which nothing is taken gives none.
+    document; one of which nothing is taken gives none. The rows are stored once under
+    numbers of their own: only sizes are sorted within shards, and texts meet their
+    quotas by number.
     """
-    rows = mix_sources(docs, text_column=text_column, payload=True, **options)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    measured = _measured(docs, id_column, text_column, source_column)
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("number"), *measured, row), "numbered-rows")
+    chosen = _chosen(numbered.drop("row"), weights, share, most, seed, block, shards).filter("taken > 0")
 
     def part(first: Column, last: Column) -> Column:
         return F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"))
@@ -194,7 +227,8 @@ def mixed_rows(docs: DataFrame, text_column: str = "text", **options) -> DataFra
     none, size = F.lit(0), F.col("size")
     once_more = F.array(part(none, F.col("head")), part(F.col("first"), F.col("last")))
     parts = F.concat(F.array_repeat(part(none, size), F.col("times")), F.filter(once_more, lambda x: x["last"] > x["first"]))
-    rows = rows.filter("taken > 0").withColumn("part", F.explode(parts))
+    chosen = chosen.select("number", "size", parts.alias("parts"))
+    rows = numbered.select("number", "row").join(chosen, "number").withColumn("part", F.explode("parts"))
     text, first, last = F.col("row")[text_column], F.col("part")["first"], F.col("part")["last"]
     # Each word with the white space before it, so that what is cut off is all that changes.
     spaced = F.regexp_extract_all(text, F.lit(rf"([{SPACE}]*{WORD})"), F.lit(1))

@@ -13,6 +13,7 @@ grams, and at last by the whole window.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -436,11 +437,29 @@ def suffix_dedup(docs: DataFrame, length: int = 400, id_column: str = "doc_id",
     return _map_rows(_with_spans(keyed(docs, id_column, text_column), length), digest, kinds, "doc_id", schema)
 
 
-def without_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def _words_within(raw: bytes, lo: int, hi: int) -> int:
+    """How many words of the text lie in the range whole."""
+    if lo and not _BLANK.match(raw, lo - 1):
+        lo = next((m.start() for m in [_BLANK.search(raw, lo, hi)] if m), hi)
+    if hi < len(raw) and not _BLANK.match(raw, hi):
+        while hi > lo and not _BLANK.match(raw, hi - 1):
+            hi -= 1
+    return sum(1 for _ in _WORD.finditer(raw, lo, hi))
+
+
+def without_repeats(
+    docs: DataFrame, length: int = 400, over_words: int = 0, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
     """The rows of ``docs`` with repeated strings cut out of their text.
 
-    A character of which only some bytes are removed goes whole, and a document of which
-    nothing is left is dropped; one that was empty before stays.
+    Of the maximal runs of bytes that repeated strings of ``length`` bytes cover, those go
+    that hold more than ``over_words`` whole words, so that ``length`` may be chosen short
+    enough for passages of short words. A character of which only some bytes are removed goes
+    whole, and a document of which nothing is left is dropped; one that was empty before stays.
     """
     id_value, text = docs[f"`{id_column}`"].cast("long"), docs[f"`{text_column}`"].cast("string")
     rows = docs.select(
@@ -450,6 +469,7 @@ def without_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id
     found = _with_spans(rows, length)
 
     def cut(raw: bytes, removed: list[tuple[int, int]]) -> tuple:
+        removed = [(lo, hi) for lo, hi in removed if not over_words or _words_within(raw, lo, hi) > over_words]
         return _kept(raw, removed).decode("utf-8", "ignore"), bool(removed)
 
     schema = StructType([rows.schema["row"], StructField("left_text", StringType()), StructField("changed", BooleanType())])

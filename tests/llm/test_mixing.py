@@ -85,6 +85,24 @@ def test_what_the_mix_takes(docs, block):
     assert Counter(map(tuple, rows)) == Counter(map(tuple, again))
 
 
+@pytest.mark.parametrize("extra", [0, 1, 2, 3])
+def test_reruns_agree_over_partitionings(spark, extra):
+    """At even and odd numbers of words: 150 percent of an odd one ends in a half."""
+    rows = [(i, "w " * (i * 37 % 101), f"s{i * i % 11}") for i in range(2000)] + [(-1, "w " * extra, "s0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [Counter(map(tuple, mixing.mix_sources(docs.repartition(n)).collect())) for n in (1, 4, 5, 9)]
+    words = sum(n_words(t) for _, t, _ in rows)
+    assert all(f == found[0] for f in found)
+    assert abs(sum(r[5] * n for r, n in found[0].items()) - 1.5 * words) <= 0.5
+
+
+def test_texts_stay_out_of_the_sorted_rows(docs):
+    """What is sorted within shards are sizes; texts are only shuffled by number."""
+    plan = mixing.mixed_rows(docs)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window" in line or "hashpartitioning(source" in line]
+    assert windows and not any("row#" in line for line in windows)
+
+
 def test_rows_of_the_mix(docs):
     taken = defaultdict(list)
     for r in mixing.mix_sources(docs).collect():

@@ -76,21 +76,48 @@ def test_near_dedup_stage(stages):
 
 def test_repeats_stage(stages):
     docs, result = stages[2]
-    before = rows(docs)
+    before, size = rows(docs), corpus_pipeline.REPEAT_BYTES
     raw = [(t or "").encode() for _, t in before]
-    seen = Counter(b[k : k + 400] for b in raw for k in range(len(b) - 399))
+    seen = Counter(b[k : k + size] for b in raw for k in range(len(b) - size + 1))
     expected = Counter()
     for (i, t), b in zip(before, raw, strict=True):
-        gone = np.zeros(len(b), bool)
-        for k in range(len(b) - 399):
-            if seen[b[k : k + 400]] > 1:
-                gone[k : k + 400] = True
-        kept = np.frombuffer(b, np.uint8)[~gone].tobytes().decode("utf-8", "ignore") if gone.any() else t
+        gone = np.zeros(len(b) + 1, bool)
+        for k in range(len(b) - size + 1):
+            if seen[b[k : k + size]] > 1:
+                gone[k : k + size] = True
+        for lo in np.flatnonzero(gone[:-1] & ~np.append(False, gone[:-2])).tolist():
+            hi = lo + int(np.flatnonzero(~gone[lo:])[0])
+            whole = [m for m in re.finditer(rb"[^\x20\x09-\x0d]+", b) if lo <= m.start() and m.end() <= hi]
+            if len(whole) <= corpus_pipeline.REPEAT_WORDS:
+                gone[lo:hi] = False
+        kept = np.frombuffer(b, np.uint8)[~gone[:-1]].tobytes().decode("utf-8", "ignore") if gone.any() else t
         if kept or not gone.any():
             expected[(i, kept)] += 1
     assert Counter(rows(result)) == expected and expected != Counter(before)
 
 
+def test_passages_of_over_fifty_words_go_and_shorter_ones_stay(spark, folder):
+    """Passages of 45 to 60 short and long words, each in three documents."""
+    rng = random.Random(6)
+    short = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 5))) for _ in range(400)]
+    long = ["".join(rng.choices("abcdefghij", k=rng.randint(6, 12))) for _ in range(400)]
+    rows, planted = [], {}
+    for n in (45, 50, 51, 53, 60):
+        for words in (short, long):
+            passage = " ".join(rng.choices(words, k=n))
+            assert len(passage) >= corpus_pipeline.REPEAT_BYTES or n < 51
+            for _ in range(3):
+                own = [" ".join(rng.choices(short + long, k=80)) for _ in range(2)]
+                planted[len(rows)] = (n, own, passage)
+                rows.append((len(rows), f"{own[0]} {passage} {own[1]}", "en", "a", 1))
+    result = corpus_pipeline.repeats_stage(spark, spark.createDataFrame(rows, COLUMNS), folder)
+    for r in result.collect():
+        n, own, passage = planted[r["doc_id"]]
+        # A few letters beside a passage may repeat by chance.
+        assert (passage in r["text"]) == (n <= 50) and r["text"].startswith(own[0][:-6]) and r["text"].endswith(own[1][6:])
+        assert n > 50 or r["text"] == rows[r["doc_id"]][1]
+
+
 def test_mix_stage(stages):
     docs, result = stages[3]
     taken = defaultdict(int)
@@ -98,10 +125,18 @@ def test_mix_stage(stages):
         taken[r["doc_id"]] += r["taken"]
     found = defaultdict(int)
     texts = dict(rows(docs))
+    parts = defaultdict(list)
     for i, t in rows(result):
-        assert texts[i].startswith(t)
-        found[i] += len(re.findall("[^\x20\x09-\x0d]+", t))
+        # Each row is a run of the document's words: all of them, or the chosen ones.
+        assert t in texts[i] and re.findall("[^\x20\x09-\x0d]+", t) and not t[:1].isspace()
+        parts[i].append(re.findall("[^\x20\x09-\x0d]+", t))
+        found[i] += len(parts[i][-1])
     assert found == {i: n for i, n in taken.items() if n}
+    # No word is taken more often than its document's times and once more.
+    for i, runs in parts.items():
+        whole = re.findall("[^\x20\x09-\x0d]+", texts[i])
+        used = Counter(w for run in runs for w in run)
+        assert all(used[w] <= -(-found[i] // len(whole)) * n for w, n in Counter(whole).items())
 
 
 def test_bpe_stage_and_the_whole_run(spark, folder, stages, byte_bpe):
