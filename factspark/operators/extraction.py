@@ -447,45 +447,63 @@ def _among(hits: Column, spans: Column) -> Column:
     return let(spans, lambda spans: F.filter(hits, lambda hit: found(spans, hit)))
 
 
-def _resolved(events: DataFrame, key: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
-    """Events by runs of overlapping hits: the key, ``run``, ``kept``, ``facts`` and ``carry``.
+def _runs(events: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Adds ``run``: the number of the run of overlapping hits that a row belongs to, or 0.
 
     A run is what hits connect that overlap one another; it ends where no hit before
-    reaches the next one's start. A hit alone in its run stays as it is. Of others those
-    go that overlap a better one: by tier, the longest first, then the leftmost. ``facts``
-    are those of the hits kept, those that wait for a hit, and, in run 0, the finished ones.
-    A key that stands for more than one document ends the job with an error.
+    reaches the next one's start. Rows in run 0 are settled: a hit alone in its run, what
+    waits for such a hit, and all rows that are no hits.
     """
     rule, start, end = F.col("rule"), F.col("start"), F.col("end")
-    is_hit = rule.isin(PHRASE, SUBJECT_PHRASE)
-    order = Window.partitionBy(*key).orderBy(is_hit, "start", "end")
-    reach = F.max(F.when(is_hit, end)).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = is_hit & (reach.isNull() | (start >= reach))
-    run = F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    # The order of hits is that of their first fields; no two have the same place and length.
-    hit = F.struct("tier", (-F.col("n")).alias("minus_n"), "start", "n", "label", "canonical", "surface", "fact")
+    is_hit, waits = F.col("is_hit"), rule == SUBJECT_PHRASE
+    # What waits for a hit stands right behind it.
+    order = Window.partitionBy(*key).orderBy("is_hit", "start", "end", "rule")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = F.max(F.when(is_hit & ~waits, end)).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    next_start = F.expr("lead(hit_start) IGNORE NULLS").over(order)
+    opens = F.when(is_hit & ~waits, reach.isNull() | (start >= reach))
+    alone = opens & (next_start.isNull() | (next_start >= end))
+    run = F.sum(F.col("opens").cast("int")).over(so_far)
+    settled = ~is_hit | F.last("alone", ignorenulls=True).over(so_far)
+    return (
+        events.withColumn("is_hit", rule.isin(PHRASE, SUBJECT_PHRASE))
+        .withColumn("hit_start", F.when(rule == PHRASE, start))
+        .withColumns({"opens": opens, "alone": alone})
+        .withColumn("run", F.when(settled, 0).otherwise(run))
+    )
+
+
+# The order of hits is that of their first fields; no two have the same place and length.
+_HIT = ("tier", "minus_n", "start", "n", "label", "canonical", "surface", "fact")
+
+
+def _resolved(events: DataFrame, key: Sequence[str], settled: dict[str, Column], carry: Sequence[str] = ()) -> DataFrame:
+    """Events by run: the key, ``settled`` (aggregates of the rows of run 0), ``carry``, and
+    in ``kept`` and ``waiting`` the hits of other runs that stay, and what waits for hits.
+
+    Of the hits of a run those go that overlap a better one: by tier, the longest first,
+    then the leftmost. A key that stands for more than one document ends the job with an
+    error.
+    """
+    rule, open_ = F.col("rule"), F.col("run") > 0
+    hit = F.struct(*[(-F.col("n")).alias(c) if c == "minus_n" else F.col(c) for c in _HIT])
+    waiting = F.struct("start", "end", "fact")
     grouped = (
-        events.withColumn("opens", opens.cast("int"))
-        .withColumn("run", run)
+        _runs(events, key)
         .groupBy(*key, "run")
         .agg(
-            F.collect_list(F.when(rule == PHRASE, hit)).alias("hits"),
-            F.collect_list(F.when(rule == SUBJECT_PHRASE, F.struct("start", "end", "fact"))).alias("waiting"),
-            F.collect_set(F.when(~is_hit, F.col("fact"))).alias("finished"),
+            *[c.alias(name) for name, c in settled.items()],
+            F.collect_list(F.when(open_ & (rule == PHRASE), hit)).alias("hits"),
+            F.collect_list(F.when(open_ & (rule == SUBJECT_PHRASE), waiting)).alias("waiting"),
             F.sum(F.when(rule == DOCUMENT, F.col("copies"))).alias("documents"),
             *[F.first(c, ignorenulls=True).alias(c) for c in carry],
         )
     )
     repeated = F.concat(F.lit("the key "), F.to_json(F.struct(*key)), F.lit(" stands for more than one document"))
     sound = grouped.filter(F.when(F.col("documents") > 1, F.raise_error(repeated).cast("boolean")).otherwise(True))
-    spans = F.when(F.size("hits") > 1, _free_spans(F.array_sort("hits")))
-    kept = F.when(F.size("hits") > 1, _among(F.col("hits"), F.col("spans"))).otherwise(F.col("hits"))
-    held = F.filter(
-        "waiting",
-        lambda w: F.exists("kept", lambda k: (k["start"] == w["start"]) & (k["start"] + k["n"] == w["end"])),
-    )
-    facts = F.concat(F.transform("kept", lambda k: k["fact"]), F.transform(held, lambda w: w["fact"]), F.col("finished"))
-    return sound.withColumn("spans", spans).withColumn("kept", kept).select(*key, "run", *carry, "kept", facts.alias("facts"))
+    spans = F.when(F.col("run") > 0, _free_spans(F.array_sort("hits")))
+    kept = F.when(F.col("run") > 0, _among(F.col("hits"), F.col("spans"))).otherwise(F.col("hits"))
+    return sound.withColumn("spans", spans).withColumn("kept", kept).drop("spans", "hits", "documents")
 
 
 def gazetteer_hits(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id",
@@ -515,8 +533,12 @@ def gazetteer_match(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id",
     events = events.filter(F.col("rule").isin(PHRASE, DOCUMENT))
     if lexicon.pieces:
         events = _whole_phrases(events, [key], [])
-    found = _resolved(events, [key]).select(key, F.explode("kept").alias("hit"))
-    return found.select(key, *[F.col("hit")[c].alias(c) for c in ("n", "start", "label", "canonical", "surface", "fact")])
+    columns = ("n", "start", "label", "canonical", "surface", "fact")
+    alone = (F.col("run") == 0) & (F.col("rule") == PHRASE)
+    found = _resolved(events, [key], {"settled": F.collect_list(F.when(alone, F.struct(*columns)))})
+    kept = F.transform("kept", lambda k: F.struct(*[k[c].alias(c) for c in columns]))
+    hit = F.explode(F.when(F.col("run") == 0, F.col("settled")).otherwise(kept))
+    return found.select(key, hit.alias("hit")).select(key, "hit.*")
 
 
 def word_facts(docs: DataFrame, rules: Rules, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -541,11 +563,17 @@ def document_facts(docs: DataFrame, rules: Rules, key: Sequence[str], text: str,
     events, lexicon = _events(docs, key, text, carry, rules, phrases)
     if lexicon.pieces:
         events = _whole_phrases(events, key, carry)
-    facts = F.filter(F.array_distinct(F.flatten(F.collect_list("facts"))), lambda f: f.isNotNull())
-    return (
-        _resolved(events, key, carry)
-        .groupBy(*key)
-        .agg(*[F.first(c, ignorenulls=True).alias(c) for c in carry], F.array_sort(facts).alias("extracted_facts"))
+    settled = {"settled": F.collect_set(F.when(F.col("run") == 0, F.col("fact")))}
+    held = F.filter(
+        "waiting",
+        lambda w: F.exists("kept", lambda k: (k["start"] == w["start"]) & (k["start"] + k["n"] == w["end"])),
+    )
+    kept = F.concat(F.transform("kept", lambda k: k["fact"]), F.transform(held, lambda w: w["fact"]))
+    facts = F.when(F.col("run") == 0, F.col("settled")).otherwise(kept)
+    found = _resolved(events, key, settled, carry).withColumn("facts", facts)
+    listed = F.filter(F.array_distinct(F.flatten(F.collect_list("facts"))), lambda f: f.isNotNull())
+    return found.groupBy(*key).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in carry], F.array_sort(listed).alias("extracted_facts")
     )
 
 

@@ -472,6 +472,31 @@ SQL: dict[str, tuple[list[str], str]] = {
         SELECT * FROM ({_mixed_sql()}) AS v(query_id, all_of, any_of, none_of, prefixes)"""),
     "fact_words": (["postings"], """
         SELECT breed, fact_type, fact_value, list(lexeme) AS lexemes FROM postings GROUP BY ALL"""),
+    "mixed_matches": (["fact_words", "mqueries"], """
+        SELECT query_id, breed, fact_type, fact_value, all_of, any_of, prefixes FROM fact_words, mqueries
+        WHERE list_has_all(lexemes, all_of) AND (len(any_of) = 0 OR len(list_filter(any_of,
+                lambda x: list_has_all(lexemes, string_split(x, '-')))) > 0)
+        AND len(list_filter(none_of, lambda x: list_has_all(lexemes, string_split(x, '-')))) = 0
+        AND len(list_filter(prefixes, lambda p: len(list_filter(lexemes,
+                lambda w: starts_with(w, p))) = 0)) = 0"""),
+    "mixed_placed": (["mixed_matches", "tokens_of_facts"], """
+        SELECT m.query_id, breed, fact_type, fact_value, t.lexeme, t.pos
+        FROM mixed_matches m JOIN tokens_of_facts t USING (breed, fact_type, fact_value)
+        WHERE list_contains(all_of, t.lexeme)
+        OR len(list_filter(any_of, lambda x: list_contains(string_split(x, '-'), t.lexeme))) > 0
+        OR len(list_filter(prefixes, lambda p: starts_with(t.lexeme, p))) > 0"""),
+    "mixed_ranks": (["mixed_placed"], """
+        SELECT query_id, breed, fact_type, fact_value, sum(0.1 / (j * j)) / 1.64493406685 AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id, breed, fact_type, fact_value
+                                           ORDER BY pos) AS j FROM mixed_placed)
+        GROUP BY ALL HAVING count(DISTINCT lexeme) = 1
+        UNION ALL
+        SELECT a.query_id, a.breed, a.fact_type, a.fact_value,
+               1 - exp(sum(ln(1 - sqrt(0.01 * CASE WHEN abs(a.pos - b.pos) > 100 THEN 1e-30
+                   ELSE 1 / (1.005 + 0.05 * exp(abs(a.pos - b.pos) / 1.5 - 2)) END))))
+        FROM mixed_placed a JOIN mixed_placed b ON a.query_id = b.query_id AND a.breed = b.breed
+             AND a.fact_type = b.fact_type AND a.fact_value = b.fact_value AND a.lexeme < b.lexeme
+        GROUP BY ALL"""),
 }
 
 

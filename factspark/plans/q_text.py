@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from factspark.functions.markup import html_to_text
@@ -466,20 +465,12 @@ def srt_search_order(spark, sf_dir):
     return _rounded(search(facts, postings(facts), I.search_queries(spark), limit=25))
 
 
-@query(oracle("fact_words mqueries fused", f"""
-    SELECT query_id, {KEYS}, round(final_score, 9) AS final_score
-    FROM fact_words JOIN fused USING (breed, fact_type, fact_value), mqueries
-    WHERE list_has_all(lexemes, all_of) AND (len(any_of) = 0 OR len(list_filter(any_of,
-            lambda x: list_has_all(lexemes, string_split(x, '-')))) > 0)
-    AND len(list_filter(none_of, lambda x: list_has_all(lexemes, string_split(x, '-')))) = 0
-    AND len(list_filter(prefixes, lambda p: len(list_filter(lexemes,
-            lambda w: starts_with(w, p))) = 0)) = 0
-    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY fused.final_score DESC, {KEYS}) <= 40"""))
+@query(oracle("mixed_matches mixed_ranks fused", f"""
+    SELECT m.query_id, {KEYS}, source_list, mentions_count, round(final_score, 9) AS final_score,
+           round(coalesce(rank, 0), 9) AS rank
+    FROM mixed_matches m JOIN fused USING (breed, fact_type, fact_value)
+    LEFT JOIN mixed_ranks r USING (query_id, breed, fact_type, fact_value)"""))
 def op_search_operators(spark, sf_dir):
     """Plain words, operators, prefixes and hyphenated words in one entry, over stored postings."""
     facts = _facts(spark, sf_dir)
-    found = search(facts, _stored_postings(spark, facts), I.mixed_queries(spark))
-    # The rank among equal scores has its own query; here ties go by the fact.
-    order = Window.partitionBy("query_id").orderBy(F.desc("final_score"), *FACT)
-    first = found.withColumn("n", F.row_number().over(order)).filter("n <= 40")
-    return first.select("query_id", *FACT, F.round("final_score", 9).alias("final_score"))
+    return _rounded(search(facts, _stored_postings(spark, facts), I.mixed_queries(spark)))
