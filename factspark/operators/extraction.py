@@ -18,7 +18,9 @@ How it runs: each word becomes one row that carries the few words after it. Look
 are joins on the word or phrase, so nothing but words that start a rule leaves the
 scan stage, and the only shuffle moves those hits to their document. A phrase of more
 than ``PHRASE_WINDOW`` words is looked up in pieces, so that no dictionary widens the
-rows of the corpus. Running maxima find the runs of hits that overlap one another, and
+rows of the corpus. Where the first words of a dictionary are too many to broadcast, a Bloom
+filter over them and over the first two words of phrases keeps other words from becoming
+rows that would be shuffled. Running maxima find the runs of hits that overlap one another, and
 only within such a run hits are compared.
 """
 
@@ -135,6 +137,7 @@ class _Lexicon:
     adjectives_fit: bool
     longest: int  # words of the longest piece
     pieces: bool  # whether any phrase is looked up in pieces
+    prefilter: Callable[[Column], Column] | None  # words of a text -> which may start a rule
 
 
 _ENTRY = (
@@ -195,15 +198,72 @@ def _lexicon(spark: SparkSession, phrases: DataFrame | None, rules: Rules) -> _L
     for other in tables:
         starts = starts.unionByName(other)
     starts = cut_lineage(starts) if tables else starts
+    starts_fit, prefilter = fits_broadcast(starts), None
+    if not starts_fit:
+        single = starts.filter(F.col("rule") != PHRASE).select(F.col("first_word").alias("key"))
+        first_two = F.array_join(F.slice(F.split("phrase", " "), 1, 2), " ")
+        prefilter = word_filter(single.unionByName(entries.select(first_two.alias("key"))))
     return _Lexicon(
-        starts, fits_broadcast(starts), entries, phrases is None or fits_broadcast(entries),
-        adjectives, adjectives is None or fits_broadcast(adjectives), longest, pieces,
+        starts, starts_fit, entries, phrases is None or fits_broadcast(entries),
+        adjectives, adjectives is None or fits_broadcast(adjectives), longest, pieces, prefilter,
     )
 
 
-def token_rows(docs: DataFrame, text: str, keep: Sequence[str], lookahead: int) -> DataFrame:
+# Bits of a filter for each key it holds, and the fewest and the most bits of a filter (8 MB).
+FILTER_BITS_PER_KEY = 12
+FILTER_BITS = 1 << 16, 1 << 26
+_FILTER_SHIFTS = (0, 19, 38)
+
+
+def word_filter(keys: DataFrame) -> Callable[[Column], Column]:
+    """A Bloom filter over ``key``: single words, and the first two words of phrases.
+
+    What it returns maps the words of a text to an array that is false for words that
+    start nothing, neither alone nor with the next word. It may be true for others, more
+    of them beyond its largest size. NULL, which stands for the document, passes. The
+    filter is one array of at most 2 ** 20 numbers, whatever the number of keys.
+    """
+    hashes = keys.select(F.xxhash64("key").alias("hash")).distinct()
+    wanted = FILTER_BITS_PER_KEY * hashes.count()
+    bits = min(max(1 << wanted.bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+
+    def places(code: Column) -> list[Column]:
+        return [F.shiftrightunsigned(code, n).bitwiseAND(bits - 1) for n in _FILTER_SHIFTS]
+
+    set_bits = hashes.select(F.explode(F.array(*places(F.col("hash")))).alias("place"))
+    one = F.expr("shiftleft(1L, cast(place & 63 AS int))")
+    numbers = set_bits.groupBy(F.shiftright("place", 6).cast("int").alias("at")).agg(F.bit_or(one).alias("bits"))
+    held = [0] * (bits // 64)
+    for row in numbers.toLocalIterator():
+        held[row["at"]] = row["bits"]
+    table = F.split(F.lit(",".join(map(str, held))), ",").cast("array<long>")
+
+    def holds(code: Column) -> Column:
+        tests = [
+            F.getbit(F.get(table, F.shiftright(place, 6).cast("int")), place.bitwiseAND(63).cast("int")) == 1
+            for place in places(code)
+        ]
+        return tests[0] & tests[1] & tests[2]
+
+    def passes(words: Column) -> Column:
+        lowered = F.transform(words, F.lower)
+        alone = F.transform(lowered, lambda w: w.isNull() | holds(F.xxhash64(w)))
+        # The last word has none behind it, for which zip_with gives NULL.
+        pairs = F.zip_with(
+            lowered, F.slice(lowered, F.lit(2), F.size(lowered)),
+            lambda a, b: F.coalesce(holds(F.xxhash64(F.concat(a, F.lit(" "), b))) & a.isNotNull() & b.isNotNull(), F.lit(False)),
+        )
+        return F.zip_with(alone, pairs, lambda a, b: a | b)
+
+    return passes
+
+
+def token_rows(docs: DataFrame, text: str, keep: Sequence[str], lookahead: int,
+               passing: Callable[[Column], Column] | None = None) -> DataFrame:
     """One row per word: ``pos`` from 1 and ``context``, the word as written and the next ones.
 
+    ``passing`` tells of the words of a text which ones are wanted; others never become rows.
+
     Position 0 is a row without a word, one per document, also for an empty text.
     The words after each one come from shifted copies of the row's own array, which
     costs one pass over it and no shuffle. Slicing at every position would copy the
@@ -219,11 +279,15 @@ def token_rows(docs: DataFrame, text: str, keep: Sequence[str], lookahead: int)
         for k in range(1, lookahead + 1)
     ]
     context = F.array(*[F.col(f"_t.w{k}") for k in range(lookahead + 1)])
-    return (
-        docs.select(*keep, listed.alias("_w"))
-        .select(*keep, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "_t"))
-        .select(*keep, "pos", context.alias("context"))
-    )
+    worded = docs.select(*keep, listed.alias("_w"))
+    if passing is None:
+        rows = worded.select(*keep, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "_t"))
+    else:
+        place = F.sequence(F.lit(0), size - 1).alias("pos")
+        zipped = F.arrays_zip(*shifted, place, passing(F.col("_w")).alias("wanted"))
+        wanted = F.filter(zipped, lambda t: t["wanted"])
+        rows = worded.select(*keep, F.explode(wanted).alias("_t")).select(*keep, F.col("_t.pos").alias("pos"), "_t")
+    return rows.select(*keep, "pos", context.alias("context"))
 
 
 def _word(k: Column | int) -> Column:
@@ -264,7 +328,7 @@ def _events(
 
     first_word = F.when(F.col("pos") == 0, "").otherwise(F.lower(F.get("context", F.lit(0))))
     started = lookup_join(
-        token_rows(docs, text, [*key, *carry], lookahead).withColumn("first_word", first_word),
+        token_rows(docs, text, [*key, *carry], lookahead, lexicon.prefilter).withColumn("first_word", first_word),
         lexicon.starts, ["first_word"], spread_by=[*key, "pos"], small=lexicon.starts_fit,
     )
 

@@ -104,6 +104,33 @@ def test_lookups_too_large_to_broadcast(spark, monkeypatch):
     }
 
 
+def test_only_words_that_pass_the_filter_are_shuffled(spark, monkeypatch):
+    names = spark.range(20_000).selectExpr(
+        "'BREED' AS label", "concat('N', id) AS canonical", "concat('breed', id % 50, ' kind', id, IF(id % 2 = 0, ' tail', '')) AS alias"
+    ).unionByName(spark.sql("SELECT 'SYMPTOM' AS label, 'Solo' AS canonical, 'solo' AS alias"))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 2_000)
+    filler = [f"word{i} breed{i % 50} other{i}" for i in range(2000)]
+    texts = [" ".join(filler[i::10]) + f" Breed{i} KIND{50 * i + i} tail solo" for i in range(10)]
+    docs = spark.createDataFrame(list(enumerate([*texts, "", None])), "doc_id int, text string")
+    lexicon = X._lexicon(spark, X.preferred_phrases(X.phrase_table(names)), X.Rules(names))
+    assert lexicon.prefilter is not None
+    every = X.token_rows(docs, "text", ["doc_id"], 2).count()
+    rows = X.token_rows(docs, "text", ["doc_id"], 2, lexicon.prefilter)
+    shuffled = [(r["doc_id"], r["pos"], r["context"][0]) for r in rows.collect()]
+    # A row for each document, what matches, and others by chance: each of the two tests of a
+    # word passes (1 - exp(-3 / 12)) ** 3 = 1.1 % at most. A frequent first word alone is none.
+    assert every == 6052 and sum(p == 0 for _, p, _ in shuffled) == 12 and len(shuffled) <= 12 + 20 + 0.03 * every
+    assert {(d, w) for d, p, w in shuffled if p} >= {(i, w) for i in range(10) for w in (f"Breed{i}", "solo")}
+    found = X.gazetteer_match(docs, names)
+    text = found._jdf.queryExecution().toString()
+    assert "_salt" in text and "wanted" in text
+    expected = {(i, f"N{51 * i}") for i in range(10)} | {(i, "Solo") for i in range(10)}
+    assert {(r["doc_id"], r["canonical"]) for r in found.collect()} == expected
+    same = X.gazetteer_hits(docs, names).count()
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 64 << 20)
+    assert X.gazetteer_hits(docs, names).count() == same
+
+
 def test_a_long_run_of_overlaps(spark):
     docs = [["a"] * 3001, "b c d e".split() * 200]
     found = X.document_facts(corpus(spark, docs), rules(spark), ["doc_id"], "text")
