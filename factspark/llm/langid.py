@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factspark.llm.blocks import HashIndex, chunks, flat_bytes, gather, map_blocks, prefix_hashes, prepare, span_hashes, spread
+from factspark.llm.blocks import HashIndex, chunks, flat_bytes, gather, map_blocks, prefix_hashes, prepare, span_hashes
 from factspark.llm.components import stored
 from factspark.llm.segments import runs_of
 
@@ -29,9 +29,12 @@ ROUNDS = 3
 EXTRA = 0.01
 #: The probability of a byte that no piece covers.
 FLOOR = 1e-6
-#: Longer words are scored in parts; a bound on products of small numbers.
+#: Words of up to so many bytes are summed as they are; the products of longer ones are
+#: scaled at each byte, as they would vanish.
 WORD_BYTES = 40
 KEPT_WORDS = 1_000_000
+#: Bytes of long words that are summed side by side.
+_LONG_AT_ONCE = 1 << 18
 _WORDS_AT_ONCE = 1 << 14
 
 _INSIDE = np.zeros(256, bool)
@@ -65,14 +68,8 @@ def vocabulary(path: str) -> tuple[HashIndex, int, int]:
 
 
 def word_spans(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of runs of letters, cut to at most ``WORD_BYTES``."""
-    starts, ends = runs_of(_INSIDE[flat], bounds)
-    pieces = np.maximum(1, -(-(ends - starts) // WORD_BYTES))
-    if len(pieces) and pieces.max() > 1:
-        at = spread(np.zeros(len(pieces), np.int64), pieces) * WORD_BYTES + np.repeat(starts, pieces)
-        ends = np.minimum(at + WORD_BYTES, np.repeat(ends, pieces))
-        starts = at
-    return starts, ends
+    """Starts and ends of runs of letters; any byte of another script counts as a letter."""
+    return runs_of(_INSIDE[flat], bounds)
 
 
 def piece_table(words: list[bytes], path: str) -> np.ndarray:
@@ -125,20 +122,113 @@ def expected_counts(table: np.ndarray, pieces: np.ndarray, counts: np.ndarray) -
     return out
 
 
+def _pieces_at(index: HashIndex, sums: np.ndarray, places: np.ndarray, lengths: np.ndarray, none: int, ending: bool) -> np.ndarray:
+    """The piece of each length (rows) that ends at each place, or that starts there; ``none`` where there is none."""
+    starts, ends = (places, places + lengths[:, None]) if not ending else (places - lengths[:, None], places)
+    starts, ends = np.broadcast_arrays(starts, ends)
+    found = index.find(span_hashes(sums, starts.ravel(), ends.ravel())).reshape(starts.shape)
+    return np.where(found < 0, none, found)
+
+
+def _joined(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix hashes of all words with a blank before each, and where each begins."""
+    flat = np.frombuffer(b"".join(b" " + w for w in words), np.uint8)
+    sizes = np.array([len(w) + 1 for w in words], np.int64)
+    return prefix_hashes(flat), np.cumsum(sizes) - sizes
+
+
+def long_word_scores(words: list[bytes], pieces: np.ndarray, path: str) -> np.ndarray:
+    """The logarithms of the sums that ``forward`` ends with, for words of any length, the longest first.
+
+    Of each sum only its ratio to the last ``longest`` ones is kept, and the logarithm of
+    what was divided out.
+    """
+    index, none, longest = vocabulary(path)
+    sums, base = _joined(words)
+    sizes = np.array([len(w) + 1 for w in words], np.int64)
+    logs = np.zeros((len(words), pieces.shape[1]))
+    ratios = np.zeros((longest, *logs.shape))
+    ratios[0] = 1
+    for t in range(1, int(sizes[0]) + 1):
+        n = int(np.searchsorted(-sizes, -t, "right"))
+        m = np.arange(1, min(longest, t) + 1)
+        found = _pieces_at(index, sums, base[:n] + t, m, none, True)
+        new = ratios[0, :n] * FLOOR + (pieces[found] * ratios[: len(m), :n]).sum(0)
+        logs[:n] += np.log(new)
+        ratios[1:, :n] = np.minimum(ratios[:-1, :n] / new, 1e300)
+        ratios[0, :n] = 1
+    return logs
+
+
+def long_word_counts(words: list[bytes], pieces: np.ndarray, counts: np.ndarray, path: str) -> np.ndarray:
+    """``expected_counts`` of words of one length, whatever it is."""
+    index, none, longest = vocabulary(path)
+    sums, base = _joined(words)
+    size, shape = len(words[0]) + 1, (len(words), pieces.shape[1])
+    ahead = np.zeros((size + 1, *shape))
+    behind = np.zeros((size + 1, *shape))
+    ratios = np.zeros((longest, *shape))
+    ratios[0] = 1
+    for t in range(1, size + 1):
+        m = np.arange(1, min(longest, t) + 1)
+        found = _pieces_at(index, sums, base + t, m, none, True)
+        new = ratios[0] * FLOOR + (pieces[found] * ratios[: len(m)]).sum(0)
+        ahead[t] = ahead[t - 1] + np.log(new)
+        ratios[1:] = np.minimum(ratios[:-1] / new, 1e300)
+        ratios[0] = 1
+    out = np.zeros_like(pieces)
+    ratios[:] = 0
+    ratios[0] = 1
+    for t in range(size - 1, -1, -1):
+        m = np.arange(1, min(longest, size - t) + 1)
+        found = _pieces_at(index, sums, base + t, m, none, False)
+        weights = pieces[found]
+        # Of all segmentations, the share in which the piece stands here.
+        share = weights * np.exp(ahead[t] + behind[t + m] - ahead[size]) * counts
+        for k in range(pieces.shape[1]):
+            out[:, k] += np.bincount(found.ravel(), share[:, :, k].ravel(), len(out))
+        new = ratios[0] * FLOOR + (weights * ratios[: len(m)]).sum(0)
+        behind[t] = behind[t + 1] + np.log(new)
+        ratios[1:] = np.minimum(ratios[:-1] / new, 1e300)
+        ratios[0] = 1
+    out[-1] = 0
+    return out
+
+
 def _by_size(words: list[bytes]) -> Iterator[np.ndarray]:
     sizes = np.array([len(w) for w in words])
     for size in np.unique(sizes):
         rows = np.flatnonzero(sizes == size)
-        for first in range(0, len(rows), _WORDS_AT_ONCE):
-            yield rows[first : first + _WORDS_AT_ONCE]
+        step = _WORDS_AT_ONCE if size <= WORD_BYTES else max(1, _LONG_AT_ONCE // int(size + 1))
+        for first in range(0, len(rows), step):
+            yield rows[first : first + step]
+
+
+def summed_counts(words: list[bytes], pieces: np.ndarray, counts: np.ndarray, path: str) -> np.ndarray:
+    """How often each piece is expected in words that occur ``counts`` times per language."""
+    out = np.zeros_like(pieces)
+    for part in _by_size(words):
+        some = [words[i] for i in part.tolist()]
+        if len(some[0]) > WORD_BYTES:
+            out += long_word_counts(some, pieces, counts[part], path)
+        else:
+            out += expected_counts(piece_table(some, path), pieces, counts[part])
+    return out
 
 
 def word_scores(words: list[bytes], model: Model, path: str) -> np.ndarray:
     """The logarithm of each word's probability in each language."""
     out = np.zeros((len(words), len(model.languages)))
-    for rows in _by_size(words):
-        table = piece_table([words[i] for i in rows.tolist()], path)
-        out[rows] = np.log(np.maximum(forward(table, model.pieces)[:, -1], 1e-300))
+    short = [w if len(w) <= WORD_BYTES else b"" for w in words]
+    for rows in _by_size(short):
+        if short[rows[0]]:
+            table = piece_table([words[i] for i in rows.tolist()], path)
+            out[rows] = np.log(np.maximum(forward(table, model.pieces)[:, -1], 1e-300))
+    long = sorted((i for i, w in enumerate(words) if len(w) > WORD_BYTES), key=lambda i: -len(words[i]))
+    while long:
+        part = long[: max(1, _LONG_AT_ONCE // len(words[long[0]]))]
+        long = long[len(part) :]
+        out[part] = long_word_scores([words[i] for i in part], model.pieces, path)
     return out
 
 
@@ -212,8 +302,7 @@ def learn(docs: DataFrame, path: str, rounds: int = ROUNDS, train_docs: int = TR
                 counts = np.zeros((len(rows), len(languages)))
                 column = np.array([place[x] for x in table["lang"].to_pylist()], np.int64)
                 counts[np.asarray(found.indices), column] = np.asarray(table["n"])
-                for part in _by_size(rows):
-                    sums += expected_counts(piece_table([rows[i] for i in part.tolist()], path), current, counts[part])
+                sums += summed_counts(rows, current, counts, path)
             piece, language = np.nonzero(sums)
             yield pa.record_batch({
                 "piece": pa.array(piece.astype(np.int32)), "language": pa.array(language.astype(np.int32)), "n": pa.array(sums[piece, language])

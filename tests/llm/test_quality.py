@@ -4,6 +4,7 @@ import itertools
 import math
 import re
 from collections import Counter
+from decimal import Decimal, localcontext
 
 import numpy as np
 import pytest
@@ -133,6 +134,63 @@ def test_forward_sums_all_segmentations(piece_bpe):
         assert langid.forward(langid.piece_table([word], piece_bpe), pieces)[0, -1] == pytest.approx(summed(word), rel=1e-9)
 
 
+LONG_WORDS = [
+    "donaudampfschifffahrtsgesellschaftskapitänsmütze", "中文文本没有空格所以一个句子就是一个很长的词", "これはとても長い日本語の文章ですスペースはありません",
+    "ภาษาไทยไม่มีช่องว่างระหว่างคำ", "x" * 300, "the" * 50, "ñ" * 41 + "ing", "🙂" * 12,
+]
+
+
+def exact_sums(word, pieces, path):
+    """The sum over all segmentations of the whole word, and how often each piece is expected, in many digits."""
+    index, none, longest = langid.vocabulary(path)
+    text, n = b" " + word, len(word) + 1
+    found = {}
+    for a in range(n):
+        for b in range(a + 1, min(n, a + longest) + 1):
+            flat = np.frombuffer(text[a:b], np.uint8)
+            k = index.find(span_hashes(prefix_hashes(flat), np.array([0]), np.array([b - a])))[0]
+            if k >= 0:
+                found[a, b] = int(k)
+    totals, expected = [], np.zeros_like(pieces)
+    with localcontext(prec=60, Emin=-(10**6)):
+        for language in range(pieces.shape[1]):
+            weight = {(a, b): Decimal(float(pieces[k, language])) for (a, b), k in found.items()}
+            floor = Decimal(langid.FLOOR)
+            ahead, behind = [Decimal(1)] + [Decimal(0)] * n, [Decimal(0)] * n + [Decimal(1)]
+            for b in range(1, n + 1):
+                ahead[b] = ahead[b - 1] * floor + sum(w * ahead[a] for (a, e), w in weight.items() if e == b)
+            for a in range(n - 1, -1, -1):
+                behind[a] = behind[a + 1] * floor + sum(w * behind[b] for (s, b), w in weight.items() if s == a)
+            totals.append(float(ahead[n].ln()))
+            for (a, b), w in weight.items():
+                expected[found[a, b], language] += float(ahead[a] * w * behind[b] / ahead[n])
+    return totals, expected
+
+
+def test_long_words_are_summed_whole(piece_bpe):
+    none = langid.vocabulary(piece_bpe)[1]
+    pieces = np.random.default_rng(1).random((none + 1, 2)) ** 4 * 1e-2
+    pieces[-1] = 0
+    model = langid.Model(["a", "b"], np.zeros(2), pieces)
+    words = [*[w.encode() for w in LONG_WORDS], b"short", b"word"]
+    scores = langid.word_scores(words, model, piece_bpe)
+    sums = np.zeros_like(pieces)
+    for word, score in zip(words, scores, strict=True):
+        totals, expected = exact_sums(word, pieces, piece_bpe)
+        assert score == pytest.approx(totals, rel=1e-9)
+        sums += expected
+        counted = langid.summed_counts([word], pieces, np.ones((1, 2)), piece_bpe)
+        assert np.allclose(counted, expected, rtol=1e-6, atol=1e-12)
+    together = langid.summed_counts(words, pieces, np.ones((len(words), 2)), piece_bpe)
+    assert np.allclose(together, sums, rtol=1e-6, atol=1e-9)
+
+
+def test_a_word_is_not_cut(piece_bpe):
+    flat = np.frombuffer(("中" * 100 + " " + "b" * 200).encode(), np.uint8)
+    starts, ends = langid.word_spans(flat, np.array([0, len(flat)]))
+    assert (ends - starts).tolist() == [300, 200]
+
+
 def test_expected_counts_sum_to_the_pieces_used(piece_bpe):
     none = langid.vocabulary(piece_bpe)[1]
     pieces = np.full((none + 1, 1), 1.0 / none)
