@@ -11,6 +11,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyarrow import fs
 from tokenizers import Tokenizer
 
 from factspark.llm import bpe, token_counts, token_files
@@ -120,6 +121,38 @@ def test_token_files_follow_the_ids(spark, edge_docs, byte_bpe, end_id):
     assert sorted(got, key=lambda r: r[1]) == expected
 
 
+def test_one_id_of_a_third_of_all_rows_is_dealt_out(spark, byte_bpe, monkeypatch):
+    rows = [(7, f"text {i % 40}") for i in range(300)] + [(None, "same")] * 200 + [(-(2**63), "least")] + [(i, "x") for i in range(100, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    folder = fresh_path(spark, "token-files")
+    # Spark would join parts as small as these.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_token_files(docs, byte_bpe, folder).cache()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    shards = manifest.collect()
+    assert len(shards) >= 4 and max(r["n_docs"] for r in shards) <= 350 and sum(r["n_null"] for r in shards) == 200
+    got = sorted(map(tuple, token_files.read_token_files(manifest, folder, rows_per_batch=37).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert Counter((r[0], r[2]) for r in got) == Counter((i, len(ids) + 1) for (i, _), ids in zip(rows, library_ids(byte_bpe, [t for _, t in rows]), strict=True))
+    starts = np.cumsum([0, *(r[2] for r in got)])
+    assert [r[1] for r in got] == starts[:-1].tolist()
+    # Another file system reads parts of files by their offsets.
+    monkeypatch.setattr(token_files, "READ_IDS", 2)
+
+    class Remote(fs.SubTreeFileSystem):
+        pass
+
+    path = folder.removeprefix("file:")
+    stem = manifest.first()["path"]
+    far, near = Remote(path, fs.LocalFileSystem()), fs.LocalFileSystem()
+    with token_files._Integers(far, f"{stem}.ids", "<u2") as a, token_files._Integers(near, f"{path}/{stem}.ids", "<u2") as b:
+        assert a.mapped is None and b.file is None and (a.part(1, 5) == b.part(1, 5)).all()
+        edges = np.array([0, 1, 6])
+        assert token_files._checksums(a, edges) == [zlib.crc32(b.part(x, y).astype("<u4")) for x, y in ((0, 1), (1, 6))]
+
+
 def test_no_documents(spark, no_docs, byte_bpe, piece_bpe):
     assert bpe.bpe_round_trip(no_docs, byte_bpe).count() == 0
     assert token_counts.token_counts(no_docs, piece_bpe).count() == 0
