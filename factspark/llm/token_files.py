@@ -33,6 +33,8 @@ _ARROW_SHARD = [
     ("shard", pa.int32()), ("path", pa.string()), ("id_bits", pa.int32()), ("n_docs", pa.int64()), ("n_null", pa.int64()), ("n_ids", pa.int64()),
 ]
 
+#: Bytes of texts that are encoded at once: the arrays over their pieces take many times that.
+WRITE_BYTES = 3 << 20
 #: Ids that are read from a file at once.
 READ_IDS = 8 << 20
 
@@ -100,7 +102,7 @@ def write_token_files(
             system.open_output_stream(f"{base}/{path}.docs") as docs_file,
         ):
             offsets_file.write(np.zeros(1, "<i8").tobytes())
-            for table in gather(batches):
+            for table in gather(batches, WRITE_BYTES):
                 ids, counts = encode_texts(table["text"], model, _table(tokenizer))
                 ends = np.cumsum(counts + 1)
                 closed = np.full(len(ids) + len(counts), end_id, f"<u{id_bits // 8}")
