@@ -152,7 +152,7 @@ def test_bpe_stage_and_the_whole_run(spark, folder, stages, byte_bpe):
 
 
 def test_registration():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     queries = entry.queries()
     assert all(sum(q.startswith(n) for q in queries) == 1 for n in names) and "pipeline" in queries
     assert corpus_pipeline.ORACLE_SQL is None and {"op2_topk_search", "op5_quality_rules"} <= entry.oracle_sql().keys()
