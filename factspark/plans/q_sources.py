@@ -27,6 +27,7 @@ from factspark.sources.readers import (
     read_table,
     require_columns,
 )
+from factspark.sources.snapshots import publish_rows, read_rows
 from factspark.sources.writers import (
     dense_ids,
     overwrite_json,
@@ -214,6 +215,16 @@ def sink_truncate_insert(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+@query(_API_CANDIDATES)
+def sink_snapshot_refresh(spark, sf_dir):
+    """A whole refresh by manifest, over older rows that a pinned reader still sees."""
+    path = fresh_path(spark, "candidates")
+    older = publish_rows(table(spark, sf_dir, "nation"), path)
+    publish_rows(candidate_facts(_api_facts(spark, sf_dir)), path)
+    assert read_rows(spark, older).columns == table(spark, sf_dir, "nation").columns
+    return read_rows(spark, path)
+
+
 @query(oracle("fused", """
     SELECT breed, fact_type, fact_value, mentions_count, sources_count, source_list,
            round(final_score, 9) AS final_score FROM fused"""))
