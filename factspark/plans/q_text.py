@@ -31,6 +31,7 @@ from factspark.operators.search import (
     search,
     write_postings,
 )
+from factspark.operators.search_index import build_index, refresh_index, search_index
 from factspark.plans import inputs as I
 from factspark.plans.inputs import STRIP, oracle, table
 from factspark.plans.q_facts import extracted
@@ -465,6 +466,28 @@ def srt_search_order(spark, sf_dir):
     return _rounded(search(facts, postings(facts), I.search_queries(spark), limit=25))
 
 
+@query(_SEARCH + " QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY fused.final_score DESC, "
+       "ranks.rank DESC, breed, fact_type, fact_value) <= 25")
+def srt_search_bands(spark, sf_dir):
+    """The first facts of each query from a stored index, read by bands of falling score."""
+    index = build_index(_facts(spark, sf_dir), fresh_path(spark, "index"))
+    return _rounded(search_index(spark, index, I.search_queries(spark), limit=25))
+
+
+@query(_SEARCH)
+def op_search_segments(spark, sf_dir):
+    """An index after three refreshes: other spellings, half the mentions, and the facts as they are."""
+    path, candidates, weights = fresh_path(spark, "index"), I.candidates(spark, sf_dir), I.weights(spark, sf_dir)
+    older = cut_lineage(fuse_facts(candidates.withColumn("breed", F.upper("breed")), weights))
+    build_index(older, path)
+    facts = _facts(spark, sf_dir)
+    fewer = facts.withColumn("mentions_count", F.floor(F.col("mentions_count") / 2).cast("bigint"))
+    refresh_index(older.unionByName(facts.join(older, FACT, "left_anti")), path)
+    refresh_index(fewer, path)
+    index = refresh_index(facts, path)
+    return _rounded(search_index(spark, index, I.search_queries(spark)))
+
+
 @query(oracle("mixed_matches mixed_ranks fused", f"""
     SELECT m.query_id, {KEYS}, source_list, mentions_count, round(final_score, 9) AS final_score,
            round(coalesce(rank, 0), 9) AS rank

@@ -1,6 +1,7 @@
 """Tables published by manifests: readers see the old rows or the new rows, never a part.
 
-A table is a folder. Rows are written to new folders inside it and count only once a
+A table is a folder. Rows are written to new folders in it (or in a part of it, a folder
+below it, where a table has rows of several kinds) and count only once a
 manifest, a small numbered JSON file, lists them. A refresh publishes by moving one
 complete manifest to a name that is not taken yet; a reader pins the manifest with the
 highest number and reads exactly the folders in it, whatever is published meanwhile.
@@ -37,7 +38,8 @@ class Snapshot:
     properties: dict = field(default_factory=dict, compare=False)
 
     def paths(self, part: str = "") -> list[str]:
-        return [f"{self.root}/{f}/{part}".rstrip("/") for f in self.folders]
+        """Where the folders lie: all, or those in the folder ``part`` of the table."""
+        return [f"{self.root}/{f}" for f in self.folders if not part or f.startswith(f"{part}/")]
 
 
 def _files(spark: SparkSession, path: str):
@@ -148,8 +150,14 @@ def expire(spark: SparkSession, root: str, keep: int = 2) -> int:
     held = {f for n in numbers[-keep:] for f in _load(spark, root, n).folders}
     for n in numbers[:-keep]:
         fs.delete(path(f"{root}/{MANIFESTS}/{_manifest(n)}"), False)
-    names = [s.getPath().getName() for s in fs.listStatus(path(root)) if s.isDirectory()]
-    spare = [n for n in names if n != MANIFESTS and n not in held]
+    parts = {f.split("/")[0] for f in held if "/" in f}
+
+    def inside(folder: str) -> list[str]:
+        return [s.getPath().getName() for s in fs.listStatus(path(folder)) if s.isDirectory()]
+
+    names = [n for n in inside(root) if n != MANIFESTS and n not in parts]
+    names += [f"{part}/{n}" for part in sorted(parts) for n in inside(f"{root}/{part}")]
+    spare = [n for n in names if n not in held]
     for name in spare:
         fs.delete(path(f"{root}/{name}"), True)
     return len(spare)
