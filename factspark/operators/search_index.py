@@ -42,7 +42,7 @@ STORED = [*FACT, "source_list", "mentions_count", "final_score"]
 VERSION = [*FACT, "_seq"]
 
 #: The shares of facts above the lower bound of each band but the last.
-SHARES = (1 / 1024, 1 / 256, 1 / 64, 1 / 16, 1 / 4)
+SHARES = (1 / 512, 1 / 64, 1 / 8)
 #: A refresh that would leave more segments compacts.
 MAX_SEGMENTS = 8
 
@@ -74,6 +74,8 @@ def _write_segment(facts: DataFrame, gone: DataFrame, root: str, bounds: Sequenc
     """Write a segment's parts and return their folders.
 
     The folders are named as partitions, so that one scan reads a part of all segments.
+    Rows lie by bucket and word, so the statistics of row groups tell which a search may
+    skip, and there are about as many files as tasks that write, not one per bucket.
     """
     spark, name = facts.sparkSession, new_folder("segment=s")
     folders = {part: f"{root}/{part}/{name}" for part in PARTS}
@@ -83,8 +85,8 @@ def _write_segment(facts: DataFrame, gone: DataFrame, root: str, bounds: Sequenc
     placed.repartitionByRange("band", *FACT).write.partitionBy("band").parquet(folders["facts"])
     kept = spark.read.schema(placed.schema).parquet(folders["facts"])
     rows = postings(kept, [*VERSION, "band"]).withColumn("bucket", bucket_of(F.col("lexeme")))
-    order = ["bucket", "band", "lexeme", *FACT]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("bucket", "band").parquet(
+    order = ["band", "bucket", "lexeme", *FACT]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("band").parquet(
         folders["postings"]
     )
     words = (
@@ -92,7 +94,8 @@ def _write_segment(facts: DataFrame, gone: DataFrame, root: str, bounds: Sequenc
         .groupBy("bucket", "lexeme")
         .agg(F.bit_or(F.expr("shiftleft(1L, band)")).alias("bands"))
     )
-    words.repartitionByRange("bucket", "lexeme").write.partitionBy("bucket").parquet(folders["words"])
+    by_bucket = words.repartitionByRange("bucket", "lexeme").sortWithinPartitions("bucket", "lexeme")
+    by_bucket.write.parquet(folders["words"])
     gone.select(*FACT).distinct().withColumn("_seq", F.lit(number)).write.parquet(folders["gone"])
     return [f"{part}/{name}" for part in PARTS]
 
@@ -205,7 +208,7 @@ def _bands_to_read(spark: SparkSession, at: Snapshot, terms: DataFrame) -> DataF
     """``query_id, bands``: bits of the bands that hold all the words a query requires."""
     asked = terms.filter((F.col("kind") == "all_of") & ~F.col("is_prefix"))
     asked = asked.select("query_id", F.col("term").alias("lexeme"), bucket_of(F.col("term")).alias("bucket"))
-    words = _read(spark, at, "words", "lexeme string, bands bigint, bucket int")
+    words, _ = _blocks(_read(spark, at, "words", "lexeme string, bands bigint, bucket int"), terms)
     found = lookup_join(words, asked.distinct(), ["bucket", "lexeme"])
     found = found.groupBy("query_id", "lexeme").agg(F.bit_or("bands").alias("bands"))
     every = F.lit((1 << (len(at.properties["bounds"]) + 1)) - 1)
@@ -219,12 +222,14 @@ def _bands_to_read(spark: SparkSession, at: Snapshot, terms: DataFrame) -> DataF
     )
 
 
-def _buckets(terms: DataFrame) -> DataFrame:
-    """``query_id, bucket``: where the postings of a query's words may lie."""
+def _blocks(rows: DataFrame, terms: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` of the buckets where the words may lie, as a filter the scan can use, and their number."""
     short = F.col("is_prefix") & (F.length("term") < BUCKET_CHARS)
     every = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
     place = F.when(short, every).otherwise(F.array(bucket_of(F.col("term"))))
-    return terms.select("query_id", F.explode(place).alias("bucket")).distinct()
+    # At most BUCKETS numbers come to the driver.
+    buckets = sorted(terms.agg(F.array_distinct(F.flatten(F.collect_set(place)))).first()[0])
+    return rows.filter(F.col("bucket").isin(buckets)), len(buckets)
 
 
 def search_index(spark: SparkSession, at: Snapshot, queries: DataFrame, limit: int | None = None,
@@ -239,11 +244,12 @@ def search_index(spark: SparkSession, at: Snapshot, queries: DataFrame, limit: i
     """
     facts, rows = _facts(spark, at), _postings(spark, at)
     order = [F.col("final_score").desc(), F.col("rank").desc(), *FACT]
+    terms = cut_lineage(search_terms(queries))
     if limit is None:
+        rows, _ = _blocks(rows, terms)
         return _found(facts, rows, queries, at).orderBy("query_id", *order)
     if limit < 1:
         raise ValueError("a limit is at least 1")
-    terms = cut_lineage(search_terms(queries))
     # A query without words asks for nothing and has no row here.
     lacking = _bands_to_read(spark, at, terms).withColumn("need", F.lit(limit).cast("bigint"))
     lacking = cut_lineage(lacking)
@@ -252,11 +258,11 @@ def search_index(spark: SparkSession, at: Snapshot, queries: DataFrame, limit: i
         here = lacking.filter(F.col("bands").bitwiseAND(F.lit(1 << band)) != 0)
         if here.isEmpty():
             continue
+        mine = queries.join(here.select("query_id"), "query_id", "left_semi")
+        near, blocks = _blocks(rows, terms.join(here.select("query_id"), "query_id", "left_semi"))
         if report is not None:
-            blocks = _buckets(terms).join(here, "query_id").agg(F.count_distinct("bucket")).first()[0]
             report.append({"band": band, "queries": here.count(), "blocks": blocks})
-        mine = queries.join(here.select("query_id"), "query_id", "left_semi")
-        found = _found(facts.filter(F.col("band") == band), rows.filter(F.col("band") == band), mine, at)
+        found = _found(facts.filter(F.col("band") == band), near.filter(F.col("band") == band), mine, at)
         place = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
         first = found.withColumn("_place", place).filter(F.col("_place") <= limit)
         first = first.join(here.select("query_id", "need"), "query_id").filter("_place <= need")

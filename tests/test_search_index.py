@@ -28,12 +28,6 @@ QUERIES = [
 ]
 
 
-@pytest.fixture(autouse=True)
-def few_buckets(monkeypatch):
-    for module in (SE, SI):
-        monkeypatch.setattr(module, "BUCKETS", 4)
-
-
 def fact(rng, i):
     value = " ".join(rng.choices(WORDS, k=rng.randint(1, 5))) + f" v{i}"
     score = rng.choice([None, float("nan"), 0.5, 0.5, round(rng.random(), 3), rng.random()])
@@ -55,7 +49,7 @@ def asked(spark):
 
 @pytest.mark.parametrize("limit", [1, 30])
 def test_limited_search_equals_the_full_one(spark, monkeypatch, limit):
-    monkeypatch.setattr(SI, "SHARES", (1 / 16, 1 / 4, 1 / 2))
+    monkeypatch.setattr(SI, "SHARES", (1 / 16, 1 / 2))
     rng = random.Random(limit)
     rows = [fact(rng, i) for i in range(160)] + [("b", "t", "rare", "z", 1, 0.01)]
     facts = spark.createDataFrame(rows, SCHEMA)
@@ -101,19 +95,21 @@ def test_a_limited_search_reads_few_blocks(spark):
     found = SI.search_index(spark, at, queries, 5, report).collect()
     assert [r.fact_value for r in found] == [f"tail n{i}" for i in range(1999, 1994, -1)] + ["rare"]
     # tail ends after the bands of the best facts, rare starts at its own, the third reads none.
-    assert len(at.properties["bounds"]) == 5
+    assert len(at.properties["bounds"]) == 3
     assert report[0] == {"band": 0, "queries": 1, "blocks": 1}
-    assert report[-1] == {"band": 5, "queries": 1, "blocks": 1}
-    assert sum(r["blocks"] for r in report) <= 4 < 2 * 6
+    assert report[-1] == {"band": 3, "queries": 1, "blocks": 1}
+    assert sum(r["blocks"] for r in report) == 3 < 2 * 4
 
 
 def test_buckets_and_bands_are_pruned_in_the_scan(spark):
     facts = spark.createDataFrame([("b", "t", "tail", "s", 1, 0.5)], SCHEMA)
     at = SI.build_index(facts, fresh_path(spark, "index"))
-    rows = SI._postings(spark, at).filter(F.col("band") == 0)
-    queries = spark.createDataFrame([(1, "tail")], "query_id int, query string")
-    plan = SE.matching_postings(rows, SE.query_terms(queries), SI.VERSION)._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan and "(band" in plan.split("PartitionFilters")[1].split("]")[0]
+    terms = SE.search_terms(spark.createDataFrame([(1, "tail no")], "query_id int, query string"))
+    rows, blocks = SI._blocks(SI._postings(spark, at).filter(F.col("band") == 0), terms)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert blocks == 2 and "In(bucket" in plan.split("PushedFilters")[1].split("]")[0]
+    assert "(band" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert [r.lexeme for r in rows.collect()] == ["tail"]
 
 
 def test_segments_of_stated_changes(spark, monkeypatch):
