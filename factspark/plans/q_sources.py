@@ -34,6 +34,7 @@ from factspark.sources.writers import (
     overwrite_parquet,
     replace_folder,
     write_counted,
+    write_json_lists,
     write_text_envelopes,
 )
 
@@ -50,10 +51,7 @@ def src_json_lines(spark, sf_dir):
 @query("SELECT url, md5(html) AS content_hash FROM pages")
 def src_json_multiline(spark, sf_dir):
     path = fresh_path(spark, "pages")
-    record = F.to_json(F.struct(F.col("html").alias("content"), "url"), {"pretty": "true"})
-    table(spark, sf_dir, "pages").select(record.alias("value")).write.option(
-        "maxRecordsPerFile", 1
-    ).text(path)
+    write_json_lists(table(spark, sf_dir, "pages").select(F.col("html").alias("content"), "url"), path)
     pages = read_json(spark, path, PAGE_RAW, multiline=True)
     return pages.select("url", F.md5("content").alias("content_hash"))
 

@@ -16,8 +16,8 @@ def read_json(spark: SparkSession, paths: str | Sequence[str], schema: StructTyp
               provenance: str | None = None) -> DataFrame:
     """JSON records from paths or globs, as one table with the declared columns.
 
-    A record that lacks a column has NULL there. ``multiline``: one record per file,
-    printed over several lines; such files are not split. ``recursive``: all ``.json``
+    A record that lacks a column has NULL there. ``multiline``: one record per file, or a
+    list of records, printed over several lines; such files are not split. ``recursive``: all ``.json``
     files below a folder, files that vanish meanwhile are skipped. ``provenance``
     names a column for the file path.
     """

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +13,9 @@ from factspark.operators.quality import assert_valid
 from factspark.schemas import TABLES
 from factspark.session import cut_lineage
 
+# Characters of records that one file of a pretty-printed list holds.
+LIST_CHARACTERS = 4 << 20
+
 
 def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -22,6 +26,34 @@ def overwrite_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_json_lists(df: DataFrame, path: str, characters: int = LIST_CHARACTERS) -> None:
+    """Pretty-printed JSON, in each file a list of records over several lines.
+
+    The number of files grows with the size of the records, not with their number. A file
+    that ``characters`` do not hold has one record; no task keeps more than a file and a batch.
+    """
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for value in batch.column(0):
+                record = value.as_py()
+                if held and size + len(record) > characters:
+                    yield joined(held)
+                    held, size = [], 0
+                held.append(record)
+                size += len(record)
+        if held:
+            yield joined(held)
+
+    def joined(records: list[str]) -> pa.RecordBatch:
+        return pa.record_batch({"value": pa.array(["[\n" + ",\n".join(records) + "\n]"], pa.string())})
+
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"pretty": "true"})
+    texts = df.select(record.alias("value")).mapInArrow(lists, "value string")
+    texts.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
 def write_counted(df: DataFrame, path: str, preview: int = 0) -> tuple[int, list]:
     """Replace a Parquet folder and return the row count, and the first rows stored.
 

@@ -1,5 +1,7 @@
 """Readers, writers and search on small tables."""
 
+import hashlib
+import json
 import math
 
 import pytest
@@ -7,6 +9,8 @@ from pyspark.errors import AnalysisException
 
 from factspark.operators import search as SE
 from factspark.operators.fusion import default_weights
+from factspark.plans import q_sources  # noqa: F401
+from factspark.plans.registry import QUERIES
 from factspark.schemas import API_RAW, NAMES_RAW, TABLES
 from factspark.session import fresh_path, remove_stored
 from factspark.sources import readers as R
@@ -114,6 +118,29 @@ def test_tables_are_created_and_refreshed(spark):
     assert spark.table("candidate_facts").count() == 5
 
 
+def test_files_of_pretty_lists_grow_with_their_size(spark):
+    rows = [(f"u{i}", None if i % 7 == 0 else f'a "{i}"\n[b],\t{{c}}') for i in range(300)]
+    df = spark.createDataFrame([*rows, (None, None), ("long", "x" * 5000)], "url string, content string").repartition(3)
+    path = fresh_path(spark, "lists")
+    W.write_json_lists(df, path, characters=800)
+    found = R.read_json(spark, path, "url string, content string", multiline=True)
+    assert sorted(map(str, found.collect())) == sorted(map(str, df.collect()))
+    files = [json.loads(f[0]) for f in spark.read.text(path, wholetext=True).collect()]
+    assert [["long"]] == [[r["url"] for r in f] for f in files if "long" in [r.get("url") for r in f]]
+    assert 10 < len(files) < 100
+    W.write_json_lists(df.limit(0), path)
+    assert R.read_json(spark, path, "url string, content string", multiline=True).count() == 0
+
+
+def test_pages_do_not_take_a_file_each(spark, tmp_path):
+    rows = [(i, f"u{i % 90}", f"<p>{i % 90}\n</p>") for i in range(100)] + [(None, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2).write.parquet(f"{tmp_path}/pages.parquet")
+    df = QUERIES["src_json_multiline"](spark, str(tmp_path))
+    expected = [(u, h and hashlib.md5(h.encode()).hexdigest()) for _, u, h in rows]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(expected, key=str)
+    assert len(df.inputFiles()) <= 4
+
+
 def test_missing_input_and_columns(spark):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         R.read_json(spark, "/no/such/folder", API_RAW)
