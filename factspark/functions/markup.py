@@ -19,13 +19,14 @@ HAS_TAG = r"<[^>]+>"
 COUNT = r"<Count>(\d+)</Count>"
 
 # Left to right, whichever starts first: a comment, a block whose content is not
-# text, then any other tag. An unclosed comment or block runs to the end.
+# text, then any other tag. An unclosed comment or block runs to the end. The bracket
+# stands before the alternatives, so that they are tried at brackets only.
 NOT_TEXT = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<script\b[^>]*>.*?(?:</script\s*>|\z)"
-    r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-    r"|<template\b[^>]*>.*?(?:</template\s*>|\z)"
-    r"|</?[a-z][^>]*>|<[!?][^>]*>"
+    r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|script\b[^>]*>.*?(?:</script\s*>|\z)"
+    r"|style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|template\b[^>]*>.*?(?:</template\s*>|\z)"
+    r"|/?[a-z][^>]*>|[!?][^>]*>)"
 )
 
 _NAMED = {name: text for name, text in html5.items() if name.endswith(";")}
@@ -101,8 +102,16 @@ def squeeze(c: Column) -> Column:
 
 def html_to_text(c: Column) -> Column:
     """The text of a page; text without any tag is returned as it is."""
-    text = squeeze(let(F.regexp_replace(c, NOT_TEXT, " "), decode_entities))
-    return F.when(has_tag(c), text).otherwise(c)
+    return F.when(has_tag(c), squeeze(_without_markup(c))).otherwise(c)
+
+
+def without_markup(c: Column) -> Column:
+    """As ``html_to_text``, with white space as it is left: the words are the same."""
+    return F.when(has_tag(c), _without_markup(c)).otherwise(c)
+
+
+def _without_markup(c: Column) -> Column:
+    return let(F.regexp_replace(c, NOT_TEXT, " "), decode_entities)
 
 
 # One root element, after any declarations and comments, closed by the last tag.

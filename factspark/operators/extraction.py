@@ -18,26 +18,31 @@ How it runs: each word becomes one row that carries the few words after it. Look
 are joins on the word or phrase, so nothing but words that start a rule leaves the
 scan stage, and the only shuffle moves those hits to their document. A phrase of more
 than ``PHRASE_WINDOW`` words is looked up in pieces, so that no dictionary widens the
-rows of the corpus. Where the first words of a dictionary are too many to broadcast, a Bloom
-filter over them and over the first two words of phrases keeps other words from becoming
-rows that would be shuffled. Running maxima find the runs of hits that overlap one another, and
-only within such a run hits are compared.
+rows of the corpus. Words that start nothing do not become rows where the first words of the
+rules are few enough to be listed, or too many to broadcast: then a Bloom filter over them and
+over the first two words of phrases stands for the list. A phrase of one word that no longer one
+can cover is settled where it stands, and each document's settled facts are reduced to
+different ones before they are shuffled. Running maxima find the runs of other hits that overlap
+one another, and only within such a run hits are compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factspark.functions.markup import html_to_text
+from factspark.functions.markup import html_to_text, without_markup
 from factspark.functions.strings import feature_tag, let, sorted_set, tag
 from factspark.operators.joins import fits_broadcast, lookup_join
 from factspark.session import cut_lineage, literal_table
 
-TOKEN = r"[\p{L}\p{N}]+"
+# ASCII stands first because it is tested first; the classes behind it hold it too.
+TOKEN = r"[a-zA-Z0-9\p{L}\p{N}]+"
 
 # A copula stands among the next COPULA_REACH words, its adjective in the PREDICATE_REACH after.
 COPULA_REACH = 3
@@ -115,16 +120,29 @@ def preferred_phrases(phrases: DataFrame) -> DataFrame:
     return phrases.groupBy("phrase").agg(best).select("phrase", "best.*")
 
 
+# Words, or beginnings of phrases, that an expression may list.
+LISTED = 2000
+
 # What a word can start. P: a phrase of n words; A and B: an adjective with a head n
 # words on; C: a subject of n words; D: no word, the row that stands for the document.
 PHRASE, NEAR, NEXT_NEAR, SUBJECT, DOCUMENT = "P", "A", "B", "C", "D"
 SUBJECT_PHRASE = "S"
+FACT = "F"  # a finished fact, whatever rule gave it
 
 # A slot numbers a copula's place behind a subject and its adjective's place behind that.
 SLOTS = COPULA_REACH * PREDICATE_REACH
 NO_SLOT = -1
 
 
+@dataclass(frozen=True)
+class _Lists:
+    """What expressions look up in place, in lower case."""
+
+    openings: list[str]  # first two words of phrases of several words
+    subjects: list[str]  # words that are subjects, by themselves or as phrases
+    adjectives: list[str]
+
+
 @dataclass(frozen=True)
 class _Lexicon:
     """The lookup tables of one set of rules, each with whether it fits a broadcast."""
@@ -138,6 +156,7 @@ class _Lexicon:
     longest: int  # words of the longest piece
     pieces: bool  # whether any phrase is looked up in pieces
     prefilter: Callable[[Column], Column] | None  # words of a text -> which may start a rule
+    lists: _Lists | None  # None where not all are short enough to be listed
 
 
 _ENTRY = (
@@ -164,7 +183,7 @@ def _entries(phrases: DataFrame) -> DataFrame:
 def _lexicon(spark: SparkSession, phrases: DataFrame | None, rules: Rules) -> _Lexicon:
     literal = [("", DOCUMENT, 0, NO_SLOT)]
     adjectives, longest, pieces = None, 1, False
-    tables = []
+    tables, openings, subjects, listed_adjectives = [], [], [], []
     entries = literal_table(spark, [], _ENTRY)
     if phrases is not None:
         # Stored once: it is measured and joined, and its own lineage may be long.
@@ -172,6 +191,9 @@ def _lexicon(spark: SparkSession, phrases: DataFrame | None, rules: Rules) -> _L
         n_words = F.size(F.split("phrase", " "))
         longest, most = entries.agg(F.max(n_words), F.max("pieces")).first()
         longest, pieces = longest or 1, (most or 1) > 1
+        openings = _listed(entries.filter(n_words > 1).select(_first_two().alias("key")))
+        named = (n_words == 1) & F.col("label").isin(list(rules.subject_labels))
+        subjects = _listed(entries.filter(named).select(F.col("phrase").alias("key")))
         first_word = F.element_at(F.split("phrase", " "), 1)
         tables.append(
             entries.select(
@@ -184,6 +206,7 @@ def _lexicon(spark: SparkSession, phrases: DataFrame | None, rules: Rules) -> _L
     if rules.adjectives is not None:
         words = rules.adjectives.select(F.lower("token").alias("check_word")).distinct()
         adjectives = cut_lineage(words.withColumn("is_adjective", F.lit(True)))
+        listed_adjectives = _listed(adjectives.select(F.col("check_word").alias("key")))
         pair = [
             F.struct(F.lit(r).alias("rule"), F.lit(n).alias("n"), F.lit(NO_SLOT).alias("slot"))
             for r, n in ((NEAR, 1), (NEXT_NEAR, 2))
@@ -198,17 +221,37 @@ def _lexicon(spark: SparkSession, phrases: DataFrame | None, rules: Rules) -> _L
     for other in tables:
         starts = starts.unionByName(other)
     starts = cut_lineage(starts) if tables else starts
-    starts_fit, prefilter = fits_broadcast(starts), None
-    if not starts_fit:
+    starts_fit, prefilter, lists = fits_broadcast(starts), None, None
+    if starts_fit:
+        first_words = _listed(starts.filter(F.col("rule") != DOCUMENT).select(F.col("first_word").alias("key")))
+        if first_words is not None:
+            prefilter = _word_list(first_words)
+        if not pieces and None not in (first_words, openings, subjects, listed_adjectives):
+            lists = _Lists(openings, sorted({*subjects, *rules.subjects}), listed_adjectives)
+    else:
         single = starts.filter(F.col("rule") != PHRASE).select(F.col("first_word").alias("key"))
-        first_two = F.array_join(F.slice(F.split("phrase", " "), 1, 2), " ")
-        prefilter = word_filter(single.unionByName(entries.select(first_two.alias("key"))))
+        prefilter = word_filter(single.unionByName(entries.select(_first_two().alias("key"))))
     return _Lexicon(
         starts, starts_fit, entries, phrases is None or fits_broadcast(entries),
-        adjectives, adjectives is None or fits_broadcast(adjectives), longest, pieces, prefilter,
+        adjectives, adjectives is None or fits_broadcast(adjectives), longest, pieces, prefilter, lists,
     )
 
 
+def _first_two() -> Column:
+    return F.array_join(F.slice(F.split("phrase", " "), 1, 2), " ")
+
+
+def _listed(keys: DataFrame) -> list[str] | None:
+    """The different values of ``key``, or None where they are more than ``LISTED``."""
+    found = [row["key"] for row in keys.filter("key IS NOT NULL").distinct().limit(LISTED + 1).collect()]
+    return None if len(found) > LISTED else sorted(found)
+
+
+def _word_list(words: Sequence[str]) -> Callable[[Column], Column]:
+    """What ``word_filter`` returns, for words few enough to list: true for no other word."""
+    return lambda text: F.transform(text, lambda w: w.isNull() | F.lower(w).isin(list(words)))
+
+
 # Bits of a filter for each key it holds, and the fewest and the most bits of a filter (8 MB).
 FILTER_BITS_PER_KEY = 12
 FILTER_BITS = 1 << 16, 1 << 26
@@ -258,6 +301,21 @@ def word_filter(keys: DataFrame) -> Callable[[Column], Column]:
     return passes
 
 
+def _wanted_places(docs: DataFrame, text: str, keep: Sequence[str],
+                   passing: Callable[[Column], Column] | None) -> tuple[DataFrame, Column]:
+    """Documents with the words of their text in ``_w``, NULL first, and the places of wanted ones."""
+    listed = F.concat(
+        F.array(F.lit(None).cast("string")),
+        F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")),
+    )
+    worded = docs.select(*keep, listed.alias("_w"))
+    places = F.sequence(F.lit(0), F.size("_w") - 1)
+    if passing is None:
+        return worded, places
+    worded = worded.withColumn("_wanted", passing(F.col("_w")))
+    return worded, F.filter(places, lambda place: F.get(F.col("_wanted"), place))
+
+
 def token_rows(docs: DataFrame, text: str, keep: Sequence[str], lookahead: int,
                passing: Callable[[Column], Column] | None = None) -> DataFrame:
     """One row per word: ``pos`` from 1 and ``context``, the word as written and the next ones.
@@ -265,29 +323,42 @@ def token_rows(docs: DataFrame, text: str, keep: Sequence[str], lookahead: int,
     ``passing`` tells of the words of a text which ones are wanted; others never become rows.
 
     Position 0 is a row without a word, one per document, also for an empty text.
-    The words after each one come from shifted copies of the row's own array, which
-    costs one pass over it and no shuffle. Slicing at every position would copy the
-    whole array each time, and sorting the words by document would shuffle the corpus.
+    ``context`` is cut out of the row's own array before words become rows, which costs no
+    shuffle and no copy of the array. It is shorter at the end of a text.
     """
-    listed = F.concat(
-        F.array(F.lit(None).cast("string")),
-        F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")),
-    )
-    size = F.size("_w")
-    shifted = [F.col("_w").alias("w0")] + [
-        F.slice("_w", k + 1, F.greatest(size - k, F.lit(0))).alias(f"w{k}")
-        for k in range(1, lookahead + 1)
-    ]
-    context = F.array(*[F.col(f"_t.w{k}") for k in range(lookahead + 1)])
-    worded = docs.select(*keep, listed.alias("_w"))
-    if passing is None:
-        rows = worded.select(*keep, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "_t"))
-    else:
-        place = F.sequence(F.lit(0), size - 1).alias("pos")
-        zipped = F.arrays_zip(*shifted, place, passing(F.col("_w")).alias("wanted"))
-        wanted = F.filter(zipped, lambda t: t["wanted"])
-        rows = worded.select(*keep, F.explode(wanted).alias("_t")).select(*keep, F.col("_t.pos").alias("pos"), "_t")
-    return rows.select(*keep, "pos", context.alias("context"))
+    worded, places = _wanted_places(docs, text, keep, passing)
+
+    def row(place: Column) -> Column:
+        return F.struct(place.alias("pos"), F.slice("_w", place + 1, F.lit(lookahead + 1)).alias("context"))
+
+    return worded.select(*keep, F.explode(F.transform(places, row)).alias("_t")).select(*keep, "_t.*")
+
+
+def distinct_rows(docs: DataFrame, text: str, keep: Sequence[str], lookahead: int,
+                  passing: Callable[[Column], Column], enough: Callable[[Column, Column], Column]) -> DataFrame:
+    """As ``token_rows``, but words that give the same facts anywhere in a text stand there once.
+
+    ``enough``: from the words of a text and a place, how many words from there decide its
+    facts, or NULL where the place itself matters. ``sure`` is true for rows that stand for all
+    equal ones; they have no ``pos``.
+    """
+    worded, places = _wanted_places(docs, text, keep, passing)
+
+    def coded(place: Column) -> Column:
+        """The place, or nothing, and the words; no word holds a blank."""
+        def joined(n: Column) -> Column:
+            words = F.array_join(F.slice("_w", place + 1, F.coalesce(n, F.lit(lookahead + 1))), " ")
+            return F.concat(F.when(n.isNull(), place.cast("string")).otherwise(""), F.lit(" "), words)
+
+        return F.when(place == 0, "0 ").otherwise(let(enough(F.col("_w"), place), joined))
+
+    rows = worded.select(*keep, F.explode(F.array_distinct(F.transform(places, coded))).alias("_code"))
+    rows = rows.select(*keep, F.split("_code", " ").alias("_parts"))
+    return rows.select(
+        *keep, F.nullif(F.get("_parts", F.lit(0)), F.lit("")).cast("int").alias("pos"),
+        F.slice("_parts", F.lit(2), F.size("_parts")).alias("context"),
+        (F.get("_parts", F.lit(0)) == "").alias("sure"),
+    )
 
 
 def _word(k: Column | int) -> Column:
@@ -305,9 +376,31 @@ def _predicate(slot: str) -> Column:
     return _word(_copula_place(slot) + 1 + F.col(slot) % PREDICATE_REACH)
 
 
+def _enough(rules: Rules, lists: _Lists, longest: int) -> Callable[[Column, Column], Column]:
+    """How many words from a place on decide the facts there; NULL where a phrase may cover it."""
+    firsts = sorted({opening.split(" ")[0] for opening in lists.openings})
+    heads, copulas = list(rules.heads), list(rules.copulas)
+
+    def enough(words: Column, place: Column) -> Column:
+        def word(k: int) -> Column:
+            return F.lower(F.get(words, place + k))
+
+        def opens(k: int) -> Column:
+            """Whether a phrase of several words may begin ``k`` words on."""
+            pair = F.concat(word(k), F.lit(" "), word(k + 1))
+            return F.coalesce(word(k).isin(firsts) & pair.isin(lists.openings), F.lit(False))
+
+        n = F.when(reduce(or_, [opens(-k) for k in range(longest)]), None) if firsts else F
+        subject = word(0).isin(lists.subjects) & reduce(or_, [word(k).isin(copulas) for k in range(1, COPULA_REACH + 1)])
+        adjective = word(0).isin(lists.adjectives) & (word(1).isin(heads) | word(2).isin(heads))
+        return n.when(subject, 1 + COPULA_REACH + PREDICATE_REACH).when(adjective, 3).otherwise(1)
+
+    return enough
+
+
 def _events(
     docs: DataFrame, key: Sequence[str], text: str, carry: Sequence[str], rules: Rules,
-    phrases: DataFrame | None,
+    phrases: DataFrame | None, once: bool = False,
 ) -> tuple[DataFrame, _Lexicon]:
     """Rows that a rule found, still with overlaps, and one DOCUMENT row per document.
 
@@ -316,6 +409,10 @@ def _events(
     pieces of one; SUBJECT_PHRASE rows are facts that hold if the hit at their span
     does; the others have no end, and their facts are finished.
 
+    ``once``: only different facts of a document are wanted. Where the rules' words are listed,
+    rows without a place (``sure``) then stand for all equal ones that no phrase of several
+    words can cover: their hits are alone, so nothing needs to know where they are.
+
     Which rules a word can start, which entry a phrase is and which words are
     adjectives are three lookup joins; the rules in between are plain expressions.
     """
@@ -326,9 +423,15 @@ def _events(
     rule, n = F.col("rule"), F.col("n")
     nothing = F.lit(None).cast("string")
 
+    lists = lexicon.lists if once else None
     first_word = F.when(F.col("pos") == 0, "").otherwise(F.lower(F.get("context", F.lit(0))))
+    if lists is None:
+        rows = token_rows(docs, text, [*key, *carry], lookahead, lexicon.prefilter).withColumn("sure", F.lit(False))
+    else:
+        enough = _enough(rules, lists, lexicon.longest)
+        rows = distinct_rows(docs, text, [*key, *carry], lookahead, lexicon.prefilter, enough)
     started = lookup_join(
-        token_rows(docs, text, [*key, *carry], lookahead, lexicon.prefilter).withColumn("first_word", first_word),
+        rows.withColumn("first_word", first_word),
         lexicon.starts, ["first_word"], spread_by=[*key, "pos"], small=lexicon.starts_fit,
     )
 
@@ -415,10 +518,29 @@ def _events(
         "piece",
         "pieces",
         F.lit(1).alias("copies"),
+        "sure",
     )
     return rows, lexicon
 
 
+def _settled_once(events: DataFrame, key: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """Events in which a document has each settled fact once; no other row is lost.
+
+    What is sure to stay, and what is no hit, needs no place any more.
+    """
+    rule = F.col("rule")
+    finished = rule.isin(NEAR, NEXT_NEAR, SUBJECT) | (rule.isin(PHRASE, SUBJECT_PHRASE) & F.col("sure"))
+    own = [c for c in ("start", "end", "tier", "n", "label", "canonical", "surface")]
+    return (
+        events.select(
+            *key, *carry, F.when(finished, FACT).otherwise(rule).alias("rule"),
+            *[F.when(~finished, F.col(c)).alias(c) for c in own], "fact", "copies",
+        )
+        .groupBy(*key, *carry, "rule", *own, "fact")
+        .agg(F.sum("copies").alias("copies"))
+    )
+
+
 def _whole_phrases(events: DataFrame, key: Sequence[str], carry: Sequence[str]) -> DataFrame:
     """Events in which the pieces of a phrase that stand one behind the other are one hit."""
     in_pieces = (F.col("rule") == PHRASE) & (F.col("pieces") > 1)
@@ -624,9 +746,8 @@ def document_facts(docs: DataFrame, rules: Rules, key: Sequence[str], text: str,
     phrases = None
     if rules.dictionary is not None:
         phrases = preferred_phrases(phrase_table(rules.dictionary, rules.place_labels))
-    events, lexicon = _events(docs, key, text, carry, rules, phrases)
-    if lexicon.pieces:
-        events = _whole_phrases(events, key, carry)
+    events, lexicon = _events(docs, key, text, carry, rules, phrases, once=True)
+    events = _whole_phrases(events, key, carry) if lexicon.pieces else _settled_once(events, key, carry)
     settled = {"settled": F.collect_set(F.when(F.col("run") == 0, F.col("fact")))}
     held = F.filter(
         "waiting",
@@ -666,7 +787,9 @@ def extract_facts(
     key = list(key)
     carry = [c for c in ("title", "source_file") if c not in key]
     plain = docs.withColumn(text, html_to_text(guarded_text(F.col(text))))
-    result = document_facts(plain, rules, key, text, carry)
+    # Facts are made of words, between which white space may be of any length.
+    worded = docs.withColumn(text, without_markup(guarded_text(F.col(text))))
+    result = document_facts(worded, rules, key, text, carry)
     for extractor in extra_extractors:
         more = extractor(plain.select(*key, text)).select(*key, "fact")
         more = more.distinct().groupBy(*key).agg(F.collect_list("fact").alias("_more"))

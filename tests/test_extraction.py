@@ -243,3 +243,42 @@ def test_a_large_dictionary_keeps_the_first_words_broadcast(spark, monkeypatch):
     text = found._jdf.queryExecution().toString()
     assert "_salt" in text and "Join Inner, (first_word" in text and "rightHint=(strategy=broadcast)" in text
     assert [(r.start, r.canonical) for r in found.collect()] == [(1, "N4017")]
+
+
+def test_facts_are_the_same_with_and_without_word_lists(spark, monkeypatch):
+    import random
+
+    from factspark.session import literal_table
+
+    draw = random.Random(5)
+    words = ["Red", "blue", "coat", "cat", "is", "was", "the", "maine", "coon", "Cat", "on", "undé", "x1"]
+    texts = [" ".join(draw.choices(words, k=draw.randint(0, 60))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, "", "a <b>red</b>&nbsp;coat"])], "k long, text string")
+    docs = docs.selectExpr("k", "text", "'t' AS title", "'f' AS source_file")
+    phrases = [
+        ("BREED", "Maine", "maine coon"), ("BREED", "Cat", "cat"), ("ORIGIN", "o", "coon"), ("ORIGIN", "p", "on the coat"),
+        ("TAG", None, "coat"), ("TAG", "t", "the"), ("TAG", "u", "undé x1 cat"),
+    ]
+    dictionary = literal_table(spark, phrases, "label string, canonical string, alias string")
+    adjectives = literal_table(spark, [("red",), ("blue",), ("on",)], "token string")
+    for one_word in (False, True):
+        chosen = dictionary.filter("alias NOT LIKE '% %'") if one_word else dictionary
+        rules = X.Rules(chosen, adjectives, subjects=["x1"], copulas=["is", "was"])
+        found = []
+        for limit in (2000, 0):
+            monkeypatch.setattr(X, "LISTED", limit)
+            facts = X.document_facts(docs.withColumn("text", X.without_markup(docs["text"])), rules, ["k"], "text")
+            found.append(sorted(map(str, facts.collect())))
+        assert found[0] == found[1]
+        assert len(found[0]) == 63 and any("CHARACTER" in f for f in found[0])
+
+
+def test_a_repeated_word_is_shuffled_once(spark):
+    from factspark.session import literal_table
+
+    dictionary = literal_table(spark, [("TAG", "c", "coat"), ("TAG", "m", "maine coon")], "label string, canonical string, alias string")
+    docs = spark.createDataFrame([(1, "coat and " * 3000 + "maine coon")], "k long, text string")
+    phrases = X.preferred_phrases(X.phrase_table(dictionary))
+    events, _ = X._events(docs, ["k"], "text", [], X.Rules(dictionary), phrases, once=True)
+    assert events.count() <= 3
+    assert X.document_facts(docs, X.Rules(dictionary), ["k"], "text").first()["extracted_facts"] == ["TAG:c", "TAG:m"]
