@@ -21,9 +21,9 @@ than ``PHRASE_WINDOW`` words is looked up in pieces, so that no dictionary widen
 rows of the corpus. Words that start nothing do not become rows where the first words of the
 rules are few enough to be listed, or too many to broadcast: then a Bloom filter over them and
 over the first two words of phrases stands for the list. A phrase of one word that no longer one
-can cover is settled where it stands, and each document's settled facts are reduced to
-different ones before they are shuffled. Running maxima find the runs of other hits that overlap
-one another, and only within such a run hits are compared.
+can cover is settled where it stands, and words of a document that give the same facts become one
+row. Running maxima find the runs of other hits that overlap one another, and only within such
+a run hits are compared.
 """
 
 from __future__ import annotations
@@ -523,21 +523,17 @@ def _events(
     return rows, lexicon
 
 
-def _settled_once(events: DataFrame, key: Sequence[str], carry: Sequence[str]) -> DataFrame:
-    """Events in which a document has each settled fact once; no other row is lost.
+def _settled(events: DataFrame, key: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """Events in which what is sure to stay, and what is no hit, has no place; no row is lost.
 
-    What is sure to stay, and what is no hit, needs no place any more.
+    Equal facts are not grouped here: that would shuffle them once more than their document.
     """
     rule = F.col("rule")
     finished = rule.isin(NEAR, NEXT_NEAR, SUBJECT) | (rule.isin(PHRASE, SUBJECT_PHRASE) & F.col("sure"))
     own = [c for c in ("start", "end", "tier", "n", "label", "canonical", "surface")]
-    return (
-        events.select(
-            *key, *carry, F.when(finished, FACT).otherwise(rule).alias("rule"),
-            *[F.when(~finished, F.col(c)).alias(c) for c in own], "fact", "copies",
-        )
-        .groupBy(*key, *carry, "rule", *own, "fact")
-        .agg(F.sum("copies").alias("copies"))
+    return events.select(
+        *key, *carry, F.when(finished, FACT).otherwise(rule).alias("rule"),
+        *[F.when(~finished, F.col(c)).alias(c) for c in own], "fact", "copies",
     )
 
 
@@ -747,7 +743,7 @@ def document_facts(docs: DataFrame, rules: Rules, key: Sequence[str], text: str,
     if rules.dictionary is not None:
         phrases = preferred_phrases(phrase_table(rules.dictionary, rules.place_labels))
     events, lexicon = _events(docs, key, text, carry, rules, phrases, once=True)
-    events = _whole_phrases(events, key, carry) if lexicon.pieces else _settled_once(events, key, carry)
+    events = _whole_phrases(events, key, carry) if lexicon.pieces else _settled(events, key, carry)
     settled = {"settled": F.collect_set(F.when(F.col("run") == 0, F.col("fact")))}
     held = F.filter(
         "waiting",
